@@ -25,9 +25,9 @@ FREQUENT = 1e-3
 MAX_FREQUENT = 500_000
 #: Most shared prefix shingles that may be required.
 MAX_MATCHES = 4
-#: Of 64 bits, each the lowest of a minwise hash, so many may differ. At similarity 0.7 the mean is 9.6 with deviation 2.9, so a pair is lost
-#: with a probability under one in a million; at 0.75 or more under one in 10**8.
-MAX_BITS = 25
+#: Of 128 bits, two of each of 64 minwise hashes, so many may differ. At similarity 0.7 the mean is 19.2 with deviation 4.8, so a pair is lost
+#: with a probability of about one in ten million; at 0.75 or more under one in 10**9.
+MAX_BITS = 44
 #: Tables of at most so many ids are broadcast; larger ones are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -59,7 +59,7 @@ def survey(records: DataFrame, width: int) -> DataFrame:
         for table in _batches(iterator):
             words, counts = S.word_hashes(_texts(table))
             h = S.sequence_hash(words, counts)
-            values, _ = S.shingle_sets(words, counts, width)
+            values, _ = S.shingles(words, counts, width)  # a shingle repeated in a text counts again: the order is all that depends on it
             yield pa.RecordBatch.from_arrays([table["id"].combine_chunks(), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64())], ["id", "h1", "h2", "shingle", "n"])
             value, n = np.unique(values, return_counts=True)
             keep = n >= max(2, FREQUENT / 2 * table.num_rows)
@@ -78,33 +78,45 @@ def frequent_table(surveyed: DataFrame, total: int) -> tuple[np.ndarray, np.ndar
 
 
 def prefixes(records: DataFrame, frequent, threshold: float, width: int, total: int) -> DataFrame:
-    """id, n (shingles), matches (required), bits, token: one row for each shingle of a record's prefix."""
+    """token, id, pack (16 * shingles + required matches), bits1, bits2: one row for each shingle of a record's prefix.
+
+    A token is the class of the shingle's estimated frequency (0: not frequent, else rising with its logarithm) before 56 bits of its hash, so
+    that the order of tokens is the global order.
+    """
     shared = records.sparkSession.sparkContext.broadcast(frequent)
     unit = max(1.0, FREQUENT * total)
 
     def run(iterator):
         known, freq = shared.value
+        rank_of = np.minimum(127, 1 + 6 * np.log2(np.maximum(1.0, freq / unit))).astype(np.uint64)
         for table in _batches(iterator):
             words, counts = S.word_hashes(_texts(table))
-            values, sizes = S.shingle_sets(words, counts, width)
+            values, sizes = S.shingles(words, counts, width)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+                ranks = np.where(known[at] == values, rank_of[at], np.uint64(0))
+            else:
+                ranks = np.zeros(len(values), np.uint64)
+            tokens, sizes = S.distinct((ranks << np.uint64(56)) | (values >> np.uint64(8)), sizes)
+            bits = S.low_bits(S.minwise(S.scramble(tokens), sizes, 64))
             ids = table["id"].to_numpy()
-            bits = S.low_bits(S.minwise(values, sizes, 64))
-            at = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
-            weight = np.where(known[at] == values, freq[at], 0) if len(known) else np.zeros(len(values), np.int64)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((values, weight, owner))
-            values, weight = values[order], weight[order]
-            starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            rank = np.arange(len(values)) - np.repeat(starts, sizes)
+            ends = np.cumsum(sizes)
+            owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            place = np.arange(len(tokens)) - np.repeat(ends - sizes, sizes)
             need = np.ceil(threshold * sizes - 1e-9).astype(np.int64)
-            short = sizes - need + 1
-            cost = np.bincount(owner, np.where(rank < short[owner], weight, 0), len(sizes))
-            matches = np.minimum(np.minimum(MAX_MATCHES, 1 + np.log2(1 + cost / unit).astype(np.int64)), np.maximum(1, need))
-            keep = rank < (sizes - need + matches)[owner]
+            estimate = np.where(tokens >> np.uint64(56) > 0, 2.0 ** ((tokens >> np.uint64(56)).astype(np.float64) / 6), 0.0)
+            cost = np.bincount(owner, np.where(place < (sizes - need + 1)[owner], estimate, 0), len(sizes))
+            matches = np.minimum(np.minimum(MAX_MATCHES, 1 + np.log2(1 + cost).astype(np.int64)), np.maximum(1, need))
+            keep = place < (sizes - need + matches)[owner]
             o = owner[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (values[keep].view(np.int64), ids[o], (sizes[o] * 16 + matches[o]), bits[o])], ["token", "id", "pack", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[keep].view(np.int64), ids[o], sizes[o] * 16 + matches[o], bits[o, 0], bits[o, 1])], ["token", "id", "pack", "bits1", "bits2"])
+
+    return records.mapInArrow(run, "token long, id long, pack long, bits1 long, bits2 long")
+
 
-    return records.mapInArrow(run, "token long, id long, pack long, bits long")
+def bits_apart(x: str, y: str) -> F.Column:
+    """Bits in which two fingerprints differ; columns x1, x2 and y1, y2."""
+    return F.bit_count(F.col(f"{x}1").bitwiseXOR(F.col(f"{y}1"))) + F.bit_count(F.col(f"{x}2").bitwiseXOR(F.col(f"{y}2")))
 
 
 def shingle_table(records: DataFrame, width: int) -> DataFrame:
@@ -162,9 +174,9 @@ class NearDuplicates:
         copies = materialise(self.members.where("id <> rep").select("id"), "copies")
         firsts = only_ids(self.records, copies, "left_anti")
         tokens = prefixes(firsts, frequent, threshold, width, total)
-        a, b = (tokens.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "pack", "bits"))) for x in "ab")
+        a, b = (tokens.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "pack")), *(F.col(f"bits{k}").alias(f"bits_{x}{k}") for k in (1, 2))) for x in "ab")
         na, nb = (F.shiftright(f"pack_{x}", 4) for x in "ab")
-        close = (F.col("id_a") < F.col("id_b")) & (F.least(na, nb) >= F.lit(threshold) * F.greatest(na, nb)) & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= MAX_BITS)
+        close = (F.col("id_a") < F.col("id_b")) & (F.least(na, nb) >= F.lit(threshold) * F.greatest(na, nb)) & (bits_apart("bits_a", "bits_b") <= MAX_BITS)
         needed = F.least(F.col("pack_a").bitwiseAND(F.lit(15)), F.col("pack_b").bitwiseAND(F.lit(15)))
         met = a.join(b, (a["token"] == b["token"]) & close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), needed.alias("needed"))
         candidates = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("needed").alias("needed")).where("shared >= needed").select("a", "b")

@@ -69,24 +69,33 @@ def sequence_hash(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def shingle_sets(words: np.ndarray, counts: np.ndarray, width: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, sorted within the text, and their number for each text."""
-    owner = np.repeat(np.arange(len(counts)), counts)
+def shingles(words: np.ndarray, counts: np.ndarray, width: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of each text in their order, and their number for each text."""
     n = len(words) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(len(counts), np.int64)
+    owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     value = np.zeros(n, np.uint64)
     for k in range(width):
         value += words[k : k + n] * _MIX[k % len(_MIX)] + np.uint64(k)
-    value = scramble(value)
-    inside = owner[:n] == owner[width - 1 :]
-    value, owner = value[inside], owner[:n][inside]
-    order = np.lexsort((value, owner))
-    value, owner = value[order], owner[order]
-    first = np.ones(len(value), bool)
-    first[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    value, owner = value[first], owner[first]
-    return value, np.bincount(owner, minlength=len(counts)).astype(np.int64)
+    return scramble(value[owner[:n] == owner[width - 1 :]]), np.maximum(0, counts - width + 1)
+
+
+def distinct(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each text, sorted within the text, and their number for each text. Sorts `values` in place."""
+    ends = np.cumsum(counts)
+    for start, end in zip((ends - counts).tolist(), ends.tolist()):  # many short sorts are several times faster than one long one
+        values[start:end].sort()
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    first[(ends - counts)[counts > 0]] = True
+    owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    return values[first], np.bincount(owner[first], minlength=len(counts)).astype(np.int64)
+
+
+def shingle_sets(words: np.ndarray, counts: np.ndarray, width: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, sorted within the text, and their number for each text."""
+    return distinct(*shingles(words, counts, width))
 
 
 _rng = np.random.default_rng(20240607)
@@ -109,6 +118,8 @@ def minwise(values: np.ndarray, sizes: np.ndarray, functions: int) -> np.ndarray
 
 
 def low_bits(minima: np.ndarray) -> np.ndarray:
-    """The first 64 minima -> one 64-bit number of their spread lowest bits, as int64: its bits differ for (1 - similarity) / 2 of the places."""
-    bit = (minima[:, :64] * np.uint32(0x9E3779B1)) >> np.uint32(31)
-    return (bit.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+    """Two bits of each of the first 64 minima, as int64 of shape (texts, 2). At similarity j, a bit differs with probability (1 - j) / 2."""
+    spread = minima[:, :64] * np.uint32(0x9E3779B1)
+    weights = np.arange(64, dtype=np.uint64)
+    lanes = [(((spread >> np.uint32(31 - lane)) & np.uint32(1)).astype(np.uint64) << weights).sum(axis=1, dtype=np.uint64).view(np.int64) for lane in range(2)]
+    return np.stack(lanes, axis=1)
