@@ -23,8 +23,8 @@ FREQUENT = 1e-3
 #: Frequent shingles kept for the order, the most frequent first. Their number is below (mean shingles of a record) / FREQUENT whatever the
 #: size of the input; the limit guards the driver against very long texts. It changes the order, never the result.
 MAX_FREQUENT = 500_000
-#: Most shared prefix shingles that may be required.
-MAX_MATCHES = 4
+#: Shared prefix shingles that are required at least (of records with so many shingles) and at most. One more lengthens a prefix by one shingle.
+MIN_MATCHES, MAX_MATCHES = 3, 6
 #: Of 128 bits, two of each of 64 minwise hashes, so many may differ. At similarity 0.7 the mean is 19.2 with deviation 4.8, so a pair is lost
 #: with a probability of about one in ten million; at 0.75 or more under one in 10**9.
 MAX_BITS = 44
@@ -106,7 +106,7 @@ def prefixes(records: DataFrame, frequent, threshold: float, width: int, total:
             need = np.ceil(threshold * sizes - 1e-9).astype(np.int64)
             estimate = np.where(tokens >> np.uint64(56) > 0, 2.0 ** ((tokens >> np.uint64(56)).astype(np.float64) / 6), 0.0)
             cost = np.bincount(owner, np.where(place < (sizes - need + 1)[owner], estimate, 0), len(sizes))
-            matches = np.minimum(np.minimum(MAX_MATCHES, 1 + np.log2(1 + cost).astype(np.int64)), np.maximum(1, need))
+            matches = np.minimum(np.minimum(MAX_MATCHES, MIN_MATCHES + np.log2(1 + cost).astype(np.int64)), np.maximum(1, need))
             keep = place < (sizes - need + matches)[owner]
             o = owner[keep]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[keep].view(np.int64), ids[o], sizes[o] * 16 + matches[o], bits[o, 0], bits[o, 1])], ["token", "id", "pack", "bits1", "bits2"])
@@ -119,6 +119,19 @@ def bits_apart(x: str, y: str) -> F.Column:
     return F.bit_count(F.col(f"{x}1").bitwiseXOR(F.col(f"{y}1"))) + F.bit_count(F.col(f"{x}2").bitwiseXOR(F.col(f"{y}2")))
 
 
+def required(x: str, y: str, threshold: float) -> F.Column:
+    """Prefix shingles that a pair of that similarity shares at least.
+
+    Both prefixes hold the smaller l of the two. And of the shingles that the sets share, those beyond the prefix that ends first are no more
+    than that record has left, so the prefixes share all others.
+    """
+    n = {k: F.shiftright(f"pack_{k}", 4) for k in (x, y)}
+    matches = {k: F.col(f"pack_{k}").bitwiseAND(F.lit(15)) for k in (x, y)}
+    left = {k: F.ceil(F.lit(threshold) * n[k] - F.lit(1e-9)) - matches[k] for k in (x, y)}
+    overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (n[x] + n[y]) - F.lit(1e-6))
+    return F.greatest(F.least(matches[x], matches[y]), overlap - F.greatest(left[x], left[y]))
+
+
 def shingle_table(records: DataFrame, width: int) -> DataFrame:
     """id and its distinct shingles."""
 
@@ -177,9 +190,9 @@ class NearDuplicates:
         a, b = (tokens.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "pack")), *(F.col(f"bits{k}").alias(f"bits_{x}{k}") for k in (1, 2))) for x in "ab")
         na, nb = (F.shiftright(f"pack_{x}", 4) for x in "ab")
         close = (F.col("id_a") < F.col("id_b")) & (F.least(na, nb) >= F.lit(threshold) * F.greatest(na, nb)) & (bits_apart("bits_a", "bits_b") <= MAX_BITS)
-        needed = F.least(F.col("pack_a").bitwiseAND(F.lit(15)), F.col("pack_b").bitwiseAND(F.lit(15)))
-        met = a.join(b, (a["token"] == b["token"]) & close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), needed.alias("needed"))
-        candidates = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("needed").alias("needed")).where("shared >= needed").select("a", "b")
+        met = a.join(b, (a["token"] == b["token"]) & close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "pack_a", "pack_b")
+        shared = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("pack_a").alias("pack_a"), F.min("pack_b").alias("pack_b"))
+        candidates = shared.where(F.col("shared") >= required("a", "b", threshold)).select("a", "b")
         #: a < b, similarity: pairs of class representatives.
         self.links = materialise(verified(candidates, firsts, threshold, width), "links")
 
