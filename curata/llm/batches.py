@@ -1,7 +1,7 @@
 """Problem 5: new batches against everything accepted before.
 
 A record's bit-difference fingerprint holds BLOCKS blocks of bits, each made of a few low bits of PER_BLOCK minwise hashes of its three-word
-shingles, and 64 further bits for the Hamming distance. The index stores a fingerprint once for each block, rotated so that this block leads
+shingles, and 256 further bits for the Hamming distance. The index stores a fingerprint once for each block, rotated so that this block leads
 (the key is the block's number and value), and is only ever appended to. A new record looks up its own blocks by exact match, survivors of
 the Hamming test are verified by text.
 
@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from . import shingles as S
 from .copies import bare, multiset_fingerprint
-from .near import MAX_BITS, _batches, _texts, bits_apart, only_ids, shingle_table, similarity
+from .near import _batches, _texts, bits_apart, only_ids, shingle_table, similarity
 
 #: With similarity 0.7 a block of four agrees with probability (0.7 + 0.3 / 16) ** 4 = 0.267, so all 32 fail with 0.00005; at 0.75 with 0.000003.
 BLOCKS, PER_BLOCK, BITS_EACH = 32, 4, 4
+#: Of the 256 bits, two of each minwise hash, so many may differ. At similarity 0.7 the mean is 38.4 with deviation 6.8: one pair in ten million is lost.
+BITS = ("bits1", "bits2", "bits3", "bits4")
+MAX_BITS = 74
 HISTORY, INCOMING = 0, 1
 
 
@@ -38,7 +41,7 @@ def ordered_incoming(incoming: DataFrame) -> DataFrame:
 
 
 def fingerprints(records: DataFrame, width: int = 3) -> DataFrame:
-    """part, id, h1, h2 (word sequence), n (shingles), blocks (one number each), bits1, bits2. Records without shingles have none."""
+    """part, id, h1, h2 (word sequence), n (shingles), blocks (one number each), bits1 to bits4. Records without shingles have none."""
 
     def run(iterator):
         for table in _batches(iterator, 5000):
@@ -52,25 +55,25 @@ def fingerprints(records: DataFrame, width: int = 3) -> DataFrame:
             block = block[keep]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, block.size + 1, BLOCKS, dtype=np.int32)), pa.array(block.ravel()))
             parts, ids = (table[c].to_numpy()[keep] for c in ("part", "id"))
-            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(ids), *(pa.array(x[keep]) for x in (h[:, 0], h[:, 1], sizes)), lists, *(pa.array(x) for x in S.low_bits(minima)[keep].T.copy())], ["part", "id", "h1", "h2", "n", "blocks", "bits1", "bits2"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(ids), *(pa.array(x[keep]) for x in (h[:, 0], h[:, 1], sizes)), lists, *(pa.array(x) for x in S.low_bits(minima)[keep].T.copy())], ["part", "id", "h1", "h2", "n", "blocks", *BITS])
 
-    return records.mapInArrow(run, "part int, id long, h1 long, h2 long, n long, blocks array<int>, bits1 long, bits2 long")
+    return records.mapInArrow(run, "part int, id long, h1 long, h2 long, n long, blocks array<int>, " + ", ".join(f"{b} long" for b in BITS))
 
 
 def first_of_each(prints: DataFrame) -> DataFrame:
     """The earliest record of each word sequence: later copies can't be the only earlier partner of any record."""
-    return prints.groupBy("h1", "h2").agg(F.min(F.struct("part", "id", "n", "bits1", "bits2", "blocks")).alias("x")).select("h1", "h2", "x.*")
+    return prints.groupBy("h1", "h2").agg(F.min(F.struct("part", "id", "n", *BITS, "blocks")).alias("x")).select("h1", "h2", "x.*")
 
 
 def block_rows(prints: DataFrame) -> DataFrame:
-    return prints.select(F.explode("blocks").alias("block"), "part", "id", "n", "bits1", "bits2")
+    return prints.select(F.explode("blocks").alias("block"), "part", "id", "n", *BITS)
 
 
 def lookup(index: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
     """id, i_part, i_id: probes and earlier indexed records that share a block, fit in size and pass the Hamming test."""
-    a, b = block_rows(probes), block_rows(index).select("block", *(F.col(c).alias(f"i_{c}") for c in ("part", "id", "n", "bits1", "bits2")))
+    a, b = block_rows(probes), block_rows(index).select("block", *(F.col(c).alias(f"i_{c}") for c in ("part", "id", "n", *BITS)))
     earlier = (F.col("i_part") < F.col("part")) | ((F.col("i_part") == F.col("part")) & (F.col("i_id") < F.col("id")))
-    near = (F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits") <= MAX_BITS)
+    near = (F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
     return a.join(b, (a["block"] == b["block"]) & earlier & near).select("id", "i_part", "i_id").distinct()
 
 
@@ -117,7 +120,7 @@ def repeats(trajectory: DataFrame, incoming: DataFrame, registry: DataFrame, thr
     history, new = ordered_history(trajectory), ordered_incoming(incoming)
     exact = materialise(exact_repeats(history, new).union(sent_again(incoming, registry)).distinct(), "exact")
     prints = materialise(fingerprints(history.unionByName(new), width), "prints")
-    index = materialise(first_of_each(prints).select("part", "id", "n", "blocks", "bits1", "bits2"), "index")
+    index = materialise(first_of_each(prints).select("part", "id", "n", "blocks", *BITS), "index")
     open_ = prints.where(F.col("part") > HISTORY).join(exact, "id", "left_anti")
     near = near_repeats(index, open_, history, new, threshold, width)
     return exact.select(F.col("id").alias("in_id"), F.lit("exact").alias("kind")).unionByName(near.select(F.col("id").alias("in_id"), F.lit("near").alias("kind")))
@@ -144,8 +147,8 @@ class HistoryIndex:
         known = self.spark.read.parquet(f"{self.path}/copies").select("f1", "f2").distinct()
         exact = batch.select("id", *multiset_fingerprint(values)).join(known, ["f1", "f2"], "left_semi").select("id").distinct()
         probes = block_rows(fingerprints(batch, self.width)).join(exact, "id", "left_anti")
-        index = self.spark.read.parquet(f"{self.path}/blocks").select("block", *(F.col(c).alias(f"i_{c}") for c in ("part", "id", "n", "bits1", "bits2")))
-        near = (F.least("n", "i_n") >= F.lit(self.threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits") <= MAX_BITS)
+        index = self.spark.read.parquet(f"{self.path}/blocks").select("block", *(F.col(c).alias(f"i_{c}") for c in ("part", "id", "n", *BITS)))
+        near = (F.least("n", "i_n") >= F.lit(self.threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
         pairs = probes.join(index, (probes["block"] == index["block"]) & near).select("id", "i_part", "i_id").distinct()
         sets = self.spark.read.parquet(f"{self.path}/sets")
         mine = shingle_table(batch, self.width).select("id", F.col("s").alias("sa"))

@@ -114,9 +114,12 @@ def prefixes(records: DataFrame, frequent, threshold: float, width: int, total:
     return records.mapInArrow(run, "token long, id long, pack long, bits1 long, bits2 long")
 
 
-def bits_apart(x: str, y: str) -> F.Column:
-    """Bits in which two fingerprints differ; columns x1, x2 and y1, y2."""
-    return F.bit_count(F.col(f"{x}1").bitwiseXOR(F.col(f"{y}1"))) + F.bit_count(F.col(f"{x}2").bitwiseXOR(F.col(f"{y}2")))
+def bits_apart(x: str, y: str, lanes: int = 2) -> F.Column:
+    """Bits in which two fingerprints differ; columns x1, x2, ... and y1, y2, ..."""
+    out = F.bit_count(F.col(f"{x}1").bitwiseXOR(F.col(f"{y}1")))
+    for k in range(2, lanes + 1):
+        out = out + F.bit_count(F.col(f"{x}{k}").bitwiseXOR(F.col(f"{y}{k}")))
+    return out
 
 
 def required(x: str, y: str, threshold: float) -> F.Column:

@@ -118,8 +118,11 @@ def minwise(values: np.ndarray, sizes: np.ndarray, functions: int) -> np.ndarray
 
 
 def low_bits(minima: np.ndarray) -> np.ndarray:
-    """Two bits of each of the first 64 minima, as int64 of shape (texts, 2). At similarity j, a bit differs with probability (1 - j) / 2."""
-    spread = minima[:, :64] * np.uint32(0x9E3779B1)
+    """Two bits of each minimum, their number a multiple of 64, as int64 of shape (texts, minima / 32). At similarity j, a bit differs with probability (1 - j) / 2."""
+    spread = minima * np.uint32(0x9E3779B1)
     weights = np.arange(64, dtype=np.uint64)
-    lanes = [(((spread >> np.uint32(31 - lane)) & np.uint32(1)).astype(np.uint64) << weights).sum(axis=1, dtype=np.uint64).view(np.int64) for lane in range(2)]
+    lanes = []
+    for start in range(0, minima.shape[1], 64):
+        for bit in (31, 30):
+            lanes.append((((spread[:, start : start + 64] >> np.uint32(bit)) & np.uint32(1)).astype(np.uint64) << weights).sum(axis=1, dtype=np.uint64).view(np.int64))
     return np.stack(lanes, axis=1)
