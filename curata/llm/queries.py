@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import batches, copies, encode, near
+from . import batches, copies, encode, leaks, near
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.found(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "eval_item"))
+
+
+def p2_paraphrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.paraphrases(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "eval_item"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.found(_t(spark, sf_dir, "trajectory"))
 
@@ -43,7 +51,7 @@ def p6_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip)}
+    return {f.__name__: f for f in (p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip)}
 
 
 _BARE = "regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
@@ -61,7 +69,12 @@ def oracle_sql() -> dict[str, str]:
     copied = "SELECT *, min(id) OVER (PARTITION BY p, r) AS keep_id FROM ({0})"
     norm = f"SELECT traj_id AS id, {bare['prompt']} AS p, {bare['response']} AS r FROM trajectory"
     rnorm = f"SELECT raw_id AS id, {_BARE.format('line::JSON ->> $.prompt')} AS p, {_BARE.format('line::JSON ->> $.response')} AS r FROM trajectory_raw WHERE json_valid(line) AND json_type(line) = 'OBJECT'".replace("$.prompt", "'$.prompt'").replace("$.response", "'$.response'")
+    grams = """SELECT DISTINCT id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT {0} AS id, regexp_extract_all(lower(coalesce({1}, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM {2} WHERE {0} IS NOT NULL) t,
+        unnest(generate_series(1, greatest(0, len(w) - 11))) AS u(i)"""
     return {
+        "p2_found": f"""SELECT DISTINCT c.id AS traj_id, e.id AS item_id
+            FROM ({grams.format('traj_id', 'prompt', 'trajectory')} UNION {grams.format('traj_id', 'response', 'trajectory')}) c
+            JOIN ({grams.format('item_id', 'text', 'eval_item')}) e ON c.g = e.g""",
         "p3_found": "WITH" + _SHINGLES.format("trajectory", "traj_id") + """
             SELECT a.id AS traj_id_a, b.id AS traj_id_b
             FROM shingles_trajectory a JOIN shingles_trajectory b ON a.s = b.s AND a.id < b.id
