@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import batches, copies, encode, leaks, near
+from . import batches, copies, defects, encode, leaks, near
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.found(_t(spark, sf_dir, "trajectory"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.found(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "eval_item"))
 
@@ -51,7 +55,7 @@ def p6_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip)}
 
 
 _BARE = "regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
