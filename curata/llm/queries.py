@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import batches, copies, defects, encode, leaks, near, pii
+from . import batches, copies, defects, encode, leaks, mixing, near, pii
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,18 @@ def p6_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip(_t(spark, sf_dir, "documents"))
 
 
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_target"))
+
+
+def p7_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_target"), soft=True)
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(p7_mix(spark, sf_dir), _t(spark, sf_dir, "mix_target"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "name_lexicon"))
 
@@ -63,7 +75,7 @@ def p8_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip, p8_found, p8_masked)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
 
 
 _BARE = "regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
