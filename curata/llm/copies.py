@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
+
 NOT_LETTER_OR_DIGIT = r"[^\p{L}\p{N}]+"
 
 
@@ -41,12 +43,12 @@ def collapse_copies(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     itself; rows with a null id are left out; an empty table gives no rows; other columns of df are not read.
 
     Fingerprints are aggregated before the shuffle, so a group that holds a third of all rows costs one row a task. Equality is then verified
-    by the SHA-512 of each normalised field; a fingerprint shared by different records is split by the field digests themselves.
+    by the SHA-512 of each normalised field (the texts are read once, fingerprints and digests are written); a fingerprint shared by different records is split by the field digests themselves.
     """
     values = {f: F.col(f"v{k}") for k, f in enumerate(fields)}
     rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *(bare(F.col(f)).alias(f"v{k}") for k, f in enumerate(fields)))
     digest = F.unhex(F.sha2(F.concat_ws("|", *(F.sha2(v, 512) for v in values.values())), 256))
-    rows = rows.select("id", *multiset_fingerprint(values), digest.alias("digest"))
+    rows = materialise(rows.select("id", *multiset_fingerprint(values), digest.alias("digest")), "prints")
     groups = rows.groupBy("f1", "f2").agg(F.min("id").alias("keep_id"), F.max("id").alias("last"), F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("keep_id < last")
     groups = groups.select("f1", "f2", "keep_id", (F.col("d0") == F.col("d1")).alias("equal"))
     copies = rows.join(groups, ["f1", "f2"])
