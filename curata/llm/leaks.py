@@ -24,7 +24,7 @@ from .near import _batches
 
 #: Items that are searched for at once; a larger set is worked off in blocks of so many.
 ITEM_BLOCK = 20_000
-RANK, OVERSAMPLE, SIGN_BITS, BORDERS = 48, 16, 14, 3
+RANK, OVERSAMPLE, SIGN_BITS = 48, 16, 14
 FOREIGN = -1
 
 
@@ -192,11 +192,11 @@ class Cells:
     def code(self, vectors: np.ndarray) -> np.ndarray:
         return ((vectors[:, : self.bits] > 0) << np.arange(self.bits)).sum(axis=1)
 
-    def near(self, tiles: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (tile, item) with a window of that cosine at least, in the tile's cell or across its nearest borders."""
+    def near(self, tiles: np.ndarray, cosine: float, borders: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (tile, item) with a window of that cosine at least, in the tile's cell or across so many of its nearest borders."""
         vectors = _vectors(tiles, self.table).astype(np.float32)
         own = self.code(vectors)
-        border = np.argsort(np.abs(vectors[:, : self.bits]), axis=1)[:, : min(BORDERS, self.bits)]
+        border = np.argsort(np.abs(vectors[:, : self.bits]), axis=1)[:, : min(borders, self.bits)]
         probes = [own]
         for k in range(border.shape[1]):
             probes += [p ^ (1 << border[:, k]) for p in list(probes)]
@@ -234,7 +234,7 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _search(surveyed: DataFrame, items, cells, cosine: float, subsequences: bool) -> DataFrame:
+def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int, subsequences: bool) -> DataFrame:
     """traj_id, item_id, field, run, subsequence, item_words for every candidate pair of a stretch and an item."""
 
     def run(iterator):
@@ -245,7 +245,7 @@ def _search(surveyed: DataFrame, items, cells, cosine: float, subsequences: bool
                 continue
             cut = [_tiles(t, block.tile) for t in terms]
             owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-            t, k = index.near(np.concatenate(cut), cosine)
+            t, k = index.near(np.concatenate(cut), cosine, borders)
             ids, fields = table["traj_id"].to_pylist(), table["field"].to_pylist()
             out = []
             for s, item in sorted(set(zip(owner[t].tolist(), k.tolist()))):
@@ -258,7 +258,7 @@ def _search(surveyed: DataFrame, items, cells, cosine: float, subsequences: bool
     return spread.mapInArrow(run, "traj_id long, item_id long, field long, run long, subsequence long, item_words long")
 
 
-def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int, least: int, gap: int, cosine: float, subsequences: bool) -> DataFrame:
+def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int, least: int, gap: int, cosine: float, borders: int, subsequences: bool) -> DataFrame:
     """Candidate pairs with their measures, for all items, block by block."""
     spark = trajectory.sparkSession
     ordered = eval_item.where("item_id is not null").select("item_id", "text", "answer").dropDuplicates(["item_id"])
@@ -272,7 +272,7 @@ def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int,
         surveyed = materialise(stretches(trajectory, items, least, gap), "stretches")
         if len(block.windows):
             table = latent_table(surveyed, items, block, idf(surveyed, len(block.vocabulary)))
-            found_ = _search(surveyed, items, spark.sparkContext.broadcast(Cells(block, table)), cosine, subsequences)
+            found_ = _search(surveyed, items, spark.sparkContext.broadcast(Cells(block, table)), cosine, borders, subsequences)
         else:
             found_ = spark.createDataFrame([], "traj_id long, item_id long, field long, run long, subsequence long, item_words long")
         out = found_ if out is None else out.unionByName(found_)
@@ -285,7 +285,7 @@ def found(trajectory: DataFrame, eval_item: DataFrame, run: int = 12) -> DataFra
     Null texts count as empty and have no passages; rows with a null id are left out; of items under one id the first is taken; repeated rows
     give one row; other columns aren't read; without rows or items the result is empty.
     """
-    pairs = candidates(trajectory, eval_item, run, run // 2, run, 0, 0.99, False)
+    pairs = candidates(trajectory, eval_item, run, run // 2, run, 0, 0.99, 1, False)
     return pairs.where(F.col("run") >= run).select("traj_id", "item_id").distinct()
 
 
@@ -294,7 +294,7 @@ def paraphrases(trajectory: DataFrame, eval_item: DataFrame, share: float = 0.6)
 
     A pair counts from `share` on, or from two thirds of that if the item's answer, of three characters or more, stands in the response.
     """
-    pairs = candidates(trajectory, eval_item, 12, 6, 8, 2, 0.85, True)
+    pairs = candidates(trajectory, eval_item, 12, 6, 8, 2, 0.85, 3, True)
     best = pairs.groupBy("traj_id", "item_id").agg(F.max("run").alias("run"), F.max(F.col("subsequence") / F.col("item_words")).alias("share"))
     best = best.where((F.col("run") < 12) & (F.col("share") >= share * 2 / 3))
     texts = trajectory.select("traj_id", "response").where("traj_id is not null").dropDuplicates(["traj_id"])
