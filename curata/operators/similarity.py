@@ -1,9 +1,18 @@
-"""BLEU and weighted n-gram recall of texts against references, as joins of n-gram counts."""
+"""BLEU and weighted n-gram recall of texts against references.
+
+Candidate and reference stand in one row, so counts are taken row by row in Arrow batches: nothing but one small array a pair leaves a row, where a
+join of exploded n-grams would shuffle every n-gram of the corpus.
+"""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ORDERS = 4
 #: Added to a precision without matches.
@@ -11,62 +20,75 @@ EPSILON = 0.1
 # The keywords of Python.
 KEYWORDS = tuple("False None True and as assert async await break class continue def del elif else except finally for from global if import in is lambda nonlocal not or pass raise return try while with yield".split())
 
+_BLANKS = re.compile(r"[ \t\n\x0b\f\r]+")
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: t != "")
 
+def _tokens(text: str | None) -> list[str]:
+    return [t for t in _BLANKS.split(text or "") if t]
 
-def grams(words: Column, n: int) -> Column:
-    """Runs of n tokens, joined by blanks."""
-    last = F.size(words) - n
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
 
+def _grams(words: list[str], n: int) -> Counter:
+    return Counter(zip(*(words[i:] for i in range(n))))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def counted(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+    """Tokens of the candidate and of the reference, then clipped matches and total of the candidate's n-grams for n from 1 to ORDERS."""
+
+    def one(c, r):
+        cw, rw = _tokens(c), _tokens(r)
+        out = [len(cw), len(rw)]
+        for n in range(1, ORDERS + 1):
+            cg, rg = _grams(cw, n), _grams(rw, n)
+            out += [sum(min(k, rg[g]) for g, k in cg.items() if g in rg), max(0, len(cw) - n + 1)]
+        return out
+
+    return pd.Series([one(c, r) for c, r in zip(candidate, reference)], dtype=object)
 
-def gram_counts(pairs: DataFrame) -> DataFrame:
-    """key, n, matches (clipped by the reference), total for n from 1 to 4. pairs: key, candidate, reference, each key once."""
-    w = pairs.select("key", tokens(F.col("candidate")).alias("c"), tokens(F.col("reference")).alias("r"))
 
-    def counted(c: str):
-        lists = F.array(*(F.struct(F.lit(n).alias("n"), grams(F.col(c), n).alias("g")) for n in range(1, ORDERS + 1)))
-        return w.select("key", F.inline(lists)).select("key", "n", F.explode("g").alias("gram")).groupBy("key", "n", "gram").agg(F.count(F.lit(1)).alias("count_" + c))
+def _weighted(keyword_weight: float, other_weight: float):
+    @F.pandas_udf(T.DoubleType())
+    def recall(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+        weight = lambda t: keyword_weight if t in KEYWORDS else other_weight
 
-    both = counted("c").join(counted("r"), ["key", "n", "gram"], "left")
-    sums = both.groupBy("key", "n").agg(F.sum(F.least("count_c", F.coalesce("count_r", F.lit(0)))).alias("matches"), F.sum("count_c").alias("total"))
-    every = w.select("key", F.explode(F.sequence(F.lit(1), F.lit(ORDERS))).alias("n"))
-    return every.join(sums, ["key", "n"], "left").select("key", "n", F.coalesce("matches", F.lit(0)).alias("matches"), F.coalesce("total", F.lit(0)).alias("total"))
+        def one(c, r):
+            cg, rg = Counter(_tokens(c)), Counter(_tokens(r))
+            whole = sum(weight(t) * k for t, k in rg.items())
+            return sum(weight(t) * min(k, cg[t]) for t, k in rg.items()) / whole if whole else None
 
+        return pd.Series([one(c, r) for c, r in zip(candidate, reference)], dtype="float64")
 
-def _bleu(counts: DataFrame, lengths: DataFrame, by: list[str]) -> DataFrame:
-    p = F.when(F.col("matches") > 0, F.col("matches") / F.greatest("total", F.lit(1))).otherwise(F.lit(EPSILON) / F.greatest("total", F.lit(1)))
-    parts = counts.groupBy(*by).agg(F.sum(F.log(p) / ORDERS).alias("logs"), F.max(F.when(F.col("n") == 1, F.col("matches"))).alias("unigrams"))
-    joined = parts.join(lengths, by) if by else parts.crossJoin(lengths)  # without keys both sides are one row
-    penalty = F.when(F.col("c_len") > F.col("r_len"), 1.0).when(F.col("c_len") == 0, 0.0).otherwise(F.exp(1 - F.col("r_len") / F.nullif(F.col("c_len"), F.lit(0))))
-    return joined.select(*by, F.when(F.col("unigrams") > 0, penalty * F.exp("logs")).otherwise(0.0).alias("bleu"))
+    return recall
 
 
-def _lengths(pairs: DataFrame, by: list[str]) -> DataFrame:
-    sizes = pairs.select("key", F.size(tokens(F.col("candidate"))).alias("c"), F.size(tokens(F.col("reference"))).alias("r"))
-    return sizes.groupBy(*by).agg(F.sum("c").alias("c_len"), F.sum("r").alias("r_len"))
+def _numbers(pairs: DataFrame) -> DataFrame:
+    return pairs.select("key", counted("candidate", "reference").alias("x"))
+
+
+def gram_counts(pairs: DataFrame) -> DataFrame:
+    """key, n, matches (clipped by the reference), total for n from 1 to ORDERS. pairs: key, candidate, reference; null texts count as empty."""
+    rows = F.array(*(F.struct(F.lit(n).alias("n"), F.col("x")[2 * n].alias("matches"), F.col("x")[2 * n + 1].alias("total")) for n in range(1, ORDERS + 1)))
+    return _numbers(pairs).select("key", F.inline(rows))
+
+
+def _bleu(at) -> Column:
+    """BLEU from the numbers of `counted`, at(place): smoothed by EPSILON; 0 without a common token."""
+    logs = sum((F.log(F.when(at(2 * n) > 0, at(2 * n)).otherwise(F.lit(EPSILON)) / F.greatest(at(2 * n + 1), F.lit(1))) for n in range(1, ORDERS + 1)), F.lit(0.0)) / ORDERS
+    penalty = F.when(at(0) > at(1), 1.0).when(at(0) == 0, 0.0).otherwise(F.exp(1 - at(1) / F.nullif(at(0), F.lit(0))))
+    return F.when(at(2) > 0, penalty * F.exp(logs)).otherwise(0.0)
 
 
 def sentence_bleu(pairs: DataFrame) -> DataFrame:
     """key, bleu of each pair."""
-    return _bleu(gram_counts(pairs), _lengths(pairs, ["key"]), ["key"])
+    return _numbers(pairs).select("key", _bleu(lambda k: F.col("x")[k]).alias("bleu"))
 
 
 def corpus_bleu(pairs: DataFrame) -> DataFrame:
     """One row, bleu: counts and lengths are added over all pairs before precisions are taken."""
-    total = gram_counts(pairs).groupBy("n").agg(F.sum("matches").alias("matches"), F.sum("total").alias("total"))
-    return _bleu(total, _lengths(pairs, []), [])
+    sums = _numbers(pairs).agg(*(F.coalesce(F.sum(F.col("x")[k]), F.lit(0)).alias(f"s{k}") for k in range(2 * ORDERS + 2)))
+    return sums.select(_bleu(lambda k: F.col(f"s{k}")).alias("bleu"))
 
 
 def weighted_recall(pairs: DataFrame, keyword_weight: float = 1.0, other_weight: float = 0.2) -> DataFrame:
     """key, recall: share of the reference's tokens found in the candidate, keywords weighing more; null without reference tokens."""
-
-    def counted(c: str):
-        return pairs.select("key", F.explode(tokens(F.col(c))).alias("token")).groupBy("key", "token").agg(F.count(F.lit(1)).alias(c))
-
-    weight = F.when(F.col("token").isin(*KEYWORDS), keyword_weight).otherwise(other_weight)
-    both = counted("reference").join(counted("candidate"), ["key", "token"], "left")
-    sums = both.groupBy("key").agg(F.sum(weight * F.least("reference", F.coalesce("candidate", F.lit(0)))).alias("hit"), F.sum(weight * F.col("reference")).alias("all"))
-    return pairs.select("key").join(sums, "key", "left").select("key", (F.col("hit") / F.col("all")).alias("recall"))
+    return pairs.select("key", _weighted(keyword_weight, other_weight)("candidate", "reference").alias("recall"))
