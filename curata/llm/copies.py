@@ -73,7 +73,7 @@ def parse_record(line: pd.Series) -> pd.DataFrame:
 
     def one(text):
         try:
-            value = json.loads(text, strict=False)
+            value = json.loads(text)
         except (TypeError, ValueError, RecursionError):
             return False, None, None
         if not isinstance(value, dict):

@@ -32,14 +32,20 @@ MAX_BITS = 44
 BROADCAST_IDS = 1_000_000
 
 
-def _batches(iterator: Iterator[pa.RecordBatch], rows: int = 10_000) -> Iterator[pa.Table]:
-    """Larger tables than Spark's Arrow batches, so that numpy works on long arrays."""
+def _batches(iterator: Iterator[pa.RecordBatch], rows: int = 10_000, size: int = 16_000_000) -> Iterator[pa.Table]:
+    """Arrow batches put together, or cut, to tables of so many rows or, if they get there earlier, about so many bytes: long arrays for numpy and a
+    bound on memory for long texts, which are never cut themselves."""
     kept: list[pa.RecordBatch] = []
+    n = held = 0
     for batch in iterator:
-        kept.append(batch)
-        if sum(b.num_rows for b in kept) >= rows:
-            yield pa.Table.from_batches(kept)
-            kept = []
+        step = batch.num_rows if batch.nbytes <= size else max(1, int(batch.num_rows * size / batch.nbytes))
+        for start in range(0, batch.num_rows, max(1, step)):
+            part = batch.slice(start, step)
+            kept.append(part)
+            n, held = n + part.num_rows, held + part.nbytes
+            if n >= rows or held >= size:
+                yield pa.Table.from_batches(kept)
+                kept, n, held = [], 0, 0
     if kept:
         yield pa.Table.from_batches(kept)
 
@@ -165,7 +171,7 @@ def verified(pairs: DataFrame, records: DataFrame, threshold: float, width: int)
     sets = shingle_table(only_ids(records, ids), width)
     sets = materialise(sets, "sets")
     out = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return out.select("a", "b", similarity().alias("similarity")).where(F.col("similarity") >= threshold)
+    return out.groupBy("a", "b").agg(F.max(similarity()).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 class NearDuplicates:
@@ -173,8 +179,7 @@ class NearDuplicates:
 
     Similarity is that of the sets of `width`-word shingles of prompt followed by response; null counts as the empty text. Records with the
     same word sequence form a class and are compared once, through the smallest id. Records under `width` words have no shingles and are
-    similar to none but those of their class with at least one shingle, that is to none. Rows with a null id are left out; a row given twice
-    under one id counts once; other columns are not read; an empty table gives no rows.
+    similar to none. Rows with a null id are left out; a row given twice under one id counts once (with two texts, by the more similar one); other columns are not read; an empty table gives no rows.
     """
 
     def __init__(self, df: DataFrame, id_col: str, threshold: float = 0.7, width: int = 3):
@@ -203,7 +208,7 @@ class NearDuplicates:
         """id, class_id (smallest id of its copies), n_copies, n_links (other classes it is similar to) of every record."""
         links = self.links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
         sizes = self.members.groupBy("rep").agg(F.count(F.lit(1)).alias("n_copies"))
-        reps = self.records.select("id").distinct().join(self.members, "id", "left").select("id", F.coalesce("rep", "id").alias("class_id"))
+        reps = self.records.select("id").distinct().join(self.members.groupBy("id").agg(F.min("rep").alias("rep")), "id", "left").select("id", F.coalesce("rep", "id").alias("class_id"))
         out = reps.join(sizes.withColumnRenamed("rep", "class_id"), "class_id", "left").join(links.withColumnRenamed("rep", "class_id"), "class_id", "left")
         return out.select("id", "class_id", F.coalesce("n_copies", F.lit(1)).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
