@@ -28,6 +28,10 @@ RANK, OVERSAMPLE, SIGN_BITS = 48, 16, 14
 FOREIGN = -1
 
 
+def sequences(words: np.ndarray, run: int) -> frozenset[bytes]:
+    return frozenset(words[k : k + run].tobytes() for k in range(len(words) - run + 1))
+
+
 class Items:
     """A block of items on the driver and in each worker: vocabulary, word lists, windows."""
 
@@ -42,6 +46,8 @@ class Items:
             for start in range(max(1, len(w) - tile + 1) if len(w) else 0):
                 windows.append(np.sort(np.pad(w[start : start + tile], (0, max(0, tile - len(w))), constant_values=FOREIGN)))
                 owner.append(k)
+        #: The word sequences of `run` words of each item, for a quick look before the longest run is measured.
+        self.runs = [sequences(w, run) for w in self.words]
         self.windows = np.array(windows, np.int64).reshape(-1, tile)
         self.owner = np.array(owner, np.int64)
 
@@ -235,7 +241,8 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int, subsequences: bool) -> DataFrame:
-    """traj_id, item_id, field, run, subsequence, item_words for every candidate pair of a stretch and an item."""
+    """traj_id, item_id, field, run (0 if it is shorter than the required one), subsequence, item_words for every candidate pair of a stretch and
+    an item; without subsequences only for those with a run."""
 
     def run(iterator):
         block, index = items.value, cells.value
@@ -248,9 +255,15 @@ def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int, subs
             t, k = index.near(np.concatenate(cut), cosine, borders)
             ids, fields = table["traj_id"].to_pylist(), table["field"].to_pylist()
             out = []
+            runs: dict[int, frozenset[bytes]] = {}
             for s, item in sorted(set(zip(owner[t].tolist(), k.tolist()))):
                 words = block.words[item]
-                out.append((ids[s], block.ids[item], fields[s], longest_run(terms[s], words), common_subsequence(terms[s], words) if subsequences else 0, len(words)))
+                if s not in runs:
+                    runs[s] = sequences(terms[s], block.run)
+                length = 0 if runs[s].isdisjoint(block.runs[item]) else longest_run(terms[s], words)
+                if not length and not subsequences:
+                    continue
+                out.append((ids[s], block.ids[item], fields[s], length, common_subsequence(terms[s], words) if subsequences else 0, len(words)))
             names = ["traj_id", "item_id", "field", "run", "subsequence", "item_words"]
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(6)], names)
 
