@@ -51,10 +51,12 @@ def components(registry: DataFrame) -> DataFrame:
 
 
 def placed(trajectory: DataFrame, registry: DataFrame) -> DataFrame:
-    """The narrow rows of a mix: component, ord, line, id, key, exportable, task_id. Rows of unknown components are left out."""
+    """The narrow rows of a mix: component, ord, line, id, key, exportable, task_id. Rows of unknown components are left out, and a row given twice
+    under one component, line and id counts once."""
     rows = trajectory.select(
         F.lower("trajectories_sha256").alias("component"), F.col("line_no").alias("line"), F.col("traj_id").alias("id"), dedupe_key().alias("key"), exportable().alias("exportable"), task_id().alias("task_id")
     )
+    rows = rows.dropDuplicates(["component", "line", "id"])
     return rows.join(components(registry).withColumnRenamed("trajectories_sha256", "component"), "component")
 
 

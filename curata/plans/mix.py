@@ -31,7 +31,7 @@ def build(trajectory: DataFrame, registry: DataFrame, quota: int | None = None)
     every = dedupe.components(registry).withColumnRenamed("trajectories_sha256", "component")
     counters = every.join(counts, "component", "left").select("ord", "component", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts.columns[1:]))
     chosen = dedupe.dense_index(judged.where("verdict = 'selected'").select(*dedupe.PLACE, "component", "task_id"), *dedupe.PLACE)
-    built = chosen.join(records.message_records(trajectory).withColumnRenamed("traj_id", "id"), "id").select("row_index", "component", "line", "id", "task_id", "messages")
+    built = chosen.join(records.message_records(trajectory).dropDuplicates(["traj_id"]).withColumnRenamed("traj_id", "id"), "id").select("row_index", "component", "line", "id", "task_id", "messages")
     totals = counters.agg(*(F.sum(c).alias(c) for c in counts.columns[1:]), F.count_if(F.col("rows_selected") > 0).alias("components_used"))
     return Mix(built, counters, totals)
 

@@ -20,7 +20,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
     A file is read by one task, which numbering its lines needs; many files are read side by side.
     """
-    text = spark.read.option("lineSep", "\n").option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     split = text.select("file", F.posexplode(F.split("value", "\n")).alias("at", "line"))
     return split.select("file", (F.col("at") + 1).alias("line_no"), F.regexp_replace("line", "\r$", "").alias("line")).where(~is_blank(F.col("line")))
 
@@ -65,7 +65,7 @@ def newest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 def code_files(spark: SparkSession, path: str, separator: str = "#" * 146) -> DataFrame:
     """path, code: what follows the last separator of each file."""
-    text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return text.select("path", F.element_at(F.split("value", separator), -1).alias("code"))
 
 

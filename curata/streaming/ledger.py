@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 def new_runs(entries: DataFrame, at: str = "scored_at", delay: str = "30 days") -> DataFrame:
     """Each run's first entry; repeats that arrive within the delay are dropped, and the state of older ones is given up."""
-    return entries.where("run_id is not null").withWatermark(at, delay).dropDuplicatesWithinWatermark(["run_id", "benchmark"])
+    return entries.where("run_id is not null").withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).dropDuplicatesWithinWatermark(["run_id", "benchmark"])
 
 
 def window_counts(events: DataFrame, at: str = "ts", width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """window_start, event_type, n, total of a stream or table of events."""
-    grouped = events.withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), "event_type")
-    return grouped.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
+    timed = events.withColumn(at, F.col(at).cast("timestamp"))  # a watermark needs a point in time
+    grouped = timed.withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), "event_type")
+    return grouped.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
 
 
 def keep_frontier(spark: SparkSession, path: str):
