@@ -1,18 +1,22 @@
 """Problem 2: passages of held-out items inside training texts, by latent semantic retrieval.
 
 1. Stretches. The vocabulary is that of the items. A run of words that a text shares with an item consists of vocabulary words only, so a text's
-   candidate passages are its longest stretches of vocabulary words (with `gap` foreign words allowed in between, for paraphrases). The same pass
-   counts in how many fields of the whole corpus each term occurs.
+   candidate passages are its longest stretches of vocabulary words. The same pass counts in how many fields of the whole corpus each term occurs.
 2. Latent space. Stretches are cut into tiles of `tile` words; tiles and the items' own windows are TF-IDF vectors, and one pass over them gives
    A'A times a random matrix, summed by Spark: a randomised SVD whose driver part has the size of the items' vocabulary.
 3. Search. Every tile is projected and looked up among the projected windows of the items: windows are filed under the signs of latent
    coordinates, a tile looks into its own cell and the cells across its nearest borders, and the cosine decides. Equal word sets have equal
    vectors, so with a tile of half the required run or less (rounded down) none is lost.
-4. Verification. The longest run of consecutive words in common, else the longest common subsequence and the answer.
+4. Verification. The longest run of consecutive words in common.
+
+Paraphrases are subsequences over a whole field, which no cosine bounds. They are searched for by the words in common instead: a subsequence is never
+longer than their number, so a field with too few of them is left out without loss, and all others are measured.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,19 +30,29 @@ from .near import _batches
 ITEM_BLOCK = 20_000
 RANK, OVERSAMPLE, SIGN_BITS = 48, 16, 14
 FOREIGN = -1
+#: Pairs of a text and an item whose common words are counted at once.
+PAIRS_AT_ONCE = 1_000_000
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def sequences(words: np.ndarray, run: int) -> frozenset[bytes]:
     return frozenset(words[k : k + run].tobytes() for k in range(len(words) - run + 1))
 
 
+def _spaced(text: str | None) -> str:
+    """The words of a text, each between blanks; empty without words."""
+    words = [w.lower() for w in S.WORD.findall(text or "")]
+    return f" {' '.join(words)} " if words else ""
+
+
 class Items:
     """A block of items on the driver and in each worker: vocabulary, word lists, windows."""
 
     def __init__(self, rows: list[tuple[int, str | None, str | None]], run: int, tile: int):
         self.run, self.tile = run, tile
         self.ids = [r[0] for r in rows]
-        self.answers = [" ".join(w.lower() for w in S.WORD.findall(r[2] or "")) for r in rows]
+        #: Words of each answer between blanks; empty for answers under three characters.
+        self.answers = [_spaced(r[2]) if len((r[2] or "").strip()) >= 3 else "" for r in rows]
         self.vocabulary: dict[str, int] = {}
         self.words = [np.array([self.vocabulary.setdefault(w.lower(), len(self.vocabulary)) for w in S.WORD.findall(r[1] or "")], np.int64) for r in rows]
         windows, owner = [], []
@@ -66,19 +80,7 @@ class _Terms(dict):
         return value
 
 
-def _bridged(inside: np.ndarray, owner: np.ndarray, gap: int) -> np.ndarray:
-    """inside, with foreign stretches of up to `gap` words between two vocabulary words of one text filled."""
-    if not gap or not len(inside):
-        return inside
-    at = np.flatnonzero(inside)
-    step = np.diff(at)
-    out = inside.copy()
-    for k in np.flatnonzero((step > 1) & (step <= gap + 1) & (owner[at[:-1]] == owner[at[1:]])):
-        out[at[k] : at[k + 1]] = True
-    return out
-
-
-def stretches(trajectory: DataFrame, items, least: int, gap: int) -> DataFrame:
+def stretches(trajectory: DataFrame, items, least: int) -> DataFrame:
     """traj_id, field, terms of every stretch of at least `least` vocabulary words; and, with a null traj_id and field -1, (terms, counts): the
     fields of a part of the corpus in which each term occurs."""
 
@@ -105,9 +107,8 @@ def stretches(trajectory: DataFrame, items, least: int, gap: int) -> DataFrame:
                 fields += int((counts > 0).sum())
                 if size and len(term):
                     seen += np.bincount(np.unique(owner[inside] * size + term[inside]) % size, minlength=size)
-                full = _bridged(inside, owner, gap)
-                edge = np.flatnonzero(np.diff(np.concatenate([[-1], np.where(full, owner, -1), [-1]])))
-                starts = edge[:-1][full[edge[:-1]]] if len(edge) else edge
+                edge = np.flatnonzero(np.diff(np.concatenate([[-1], np.where(inside, owner, -1), [-1]])))
+                starts = edge[:-1][inside[edge[:-1]]] if len(edge) else edge
                 ends = edge[np.searchsorted(edge, starts, side="right")] if len(starts) else starts
                 keep = (ends - starts) >= least
                 out = [(ids[owner[s]], term[s:e]) for s, e in zip(starts[keep], ends[keep]) if ids[owner[s]] is not None]
@@ -240,9 +241,8 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int, subsequences: bool) -> DataFrame:
-    """traj_id, item_id, field, run (0 if it is shorter than the required one), subsequence, item_words for every candidate pair of a stretch and
-    an item; without subsequences only for those with a run."""
+def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int) -> DataFrame:
+    """traj_id, item_id, run for every candidate pair of a stretch and an item with a run of the required length."""
 
     def run(iterator):
         block, index = items.value, cells.value
@@ -253,41 +253,42 @@ def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int, subs
             cut = [_tiles(t, block.tile) for t in terms]
             owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
             t, k = index.near(np.concatenate(cut), cosine, borders)
-            ids, fields = table["traj_id"].to_pylist(), table["field"].to_pylist()
+            ids = table["traj_id"].to_pylist()
             out = []
             runs: dict[int, frozenset[bytes]] = {}
             for s, item in sorted(set(zip(owner[t].tolist(), k.tolist()))):
-                words = block.words[item]
                 if s not in runs:
                     runs[s] = sequences(terms[s], block.run)
-                length = 0 if runs[s].isdisjoint(block.runs[item]) else longest_run(terms[s], words)
-                if not length and not subsequences:
-                    continue
-                out.append((ids[s], block.ids[item], fields[s], length, common_subsequence(terms[s], words) if subsequences else 0, len(words)))
-            names = ["traj_id", "item_id", "field", "run", "subsequence", "item_words"]
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(6)], names)
+                if not runs[s].isdisjoint(block.runs[item]):
+                    out.append((ids[s], block.ids[item], longest_run(terms[s], block.words[item])))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["traj_id", "item_id", "run"])
 
-    spread = surveyed.where("field >= 0").select("traj_id", "field", "terms").repartition(surveyed.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInArrow(run, "traj_id long, item_id long, field long, run long, subsequence long, item_words long")
+    spread = surveyed.where("field >= 0").select("traj_id", "terms").repartition(surveyed.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(run, "traj_id long, item_id long, run long")
 
 
-def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int, least: int, gap: int, cosine: float, borders: int, subsequences: bool) -> DataFrame:
-    """Candidate pairs with their measures, for all items, block by block."""
-    spark = trajectory.sparkSession
+def item_blocks(eval_item: DataFrame, run: int, tile: int) -> Iterator[Items]:
+    """All items, block by block; of items under one id the first is taken."""
     ordered = eval_item.where("item_id is not null").select("item_id", "text", "answer").dropDuplicates(["item_id"])
     n = ordered.count()
     blocks = max(1, -(-n // ITEM_BLOCK))
-    out = None
     for b in range(blocks):
         part = ordered if blocks == 1 else ordered.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        block = Items(sorted((r[0], r[1], r[2]) for r in part.collect()) if n else [], run, tile)
+        yield Items(sorted((r[0], r[1], r[2]) for r in part.collect()) if n else [], run, tile)
+
+
+def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int, cosine: float, borders: int) -> DataFrame:
+    """Candidate pairs with their longest run, for all items, block by block."""
+    spark = trajectory.sparkSession
+    out = None
+    for block in item_blocks(eval_item, run, tile):
         items = spark.sparkContext.broadcast(block)
-        surveyed = materialise(stretches(trajectory, items, least, gap), "stretches")
+        surveyed = materialise(stretches(trajectory, items, run), "stretches")
         if len(block.windows):
             table = latent_table(surveyed, items, block, idf(surveyed, len(block.vocabulary)))
-            found_ = _search(surveyed, items, spark.sparkContext.broadcast(Cells(block, table)), cosine, borders, subsequences)
+            found_ = _search(surveyed, items, spark.sparkContext.broadcast(Cells(block, table)), cosine, borders)
         else:
-            found_ = spark.createDataFrame([], "traj_id long, item_id long, field long, run long, subsequence long, item_words long")
+            found_ = spark.createDataFrame([], "traj_id long, item_id long, run long")
         out = found_ if out is None else out.unionByName(found_)
     return out
 
@@ -298,22 +299,147 @@ def found(trajectory: DataFrame, eval_item: DataFrame, run: int = 12) -> DataFra
     Null texts count as empty and have no passages; rows with a null id are left out; of items under one id the first is taken; repeated rows
     give one row; other columns aren't read; without rows or items the result is empty.
     """
-    pairs = candidates(trajectory, eval_item, run, run // 2, run, 0, 0.99, 1, False)
+    pairs = candidates(trajectory, eval_item, run, run // 2, 0.99, 1)
     return pairs.where(F.col("run") >= run).select("traj_id", "item_id").distinct()
 
 
+def _run_hashes(terms: np.ndarray, run: int) -> np.ndarray:
+    """A 64-bit number of each word sequence of `run` words."""
+    out = np.zeros(max(0, len(terms) - run + 1), np.uint64)
+    for k in range(run if len(out) else 0):
+        out = out * _PRIME + terms[k : k + len(out)].astype(np.uint64)
+    return out
+
+
+class Bags:
+    """The items' words filed for a search by the number of words in common.
+
+    A word's second, third ... occurrence counts as a word of its own. Of an item of n words a subsequence of `least` * n, `need` words, has to be
+    reached. Without the need // 2 words that most items have, need - need // 2 of its other words are still in common, so only those are filed.
+    """
+
+    def __init__(self, block: Items, least: float):
+        size = len(block.vocabulary)
+        self.most = np.zeros(size, np.int64)
+        counted = []
+        for w in block.words:
+            term, n = np.unique(w, return_counts=True)
+            self.most[term] = np.maximum(self.most[term], n)
+            counted.append((term, n))
+        self.base = np.cumsum(self.most) - self.most
+        total = int(self.most.sum())
+        tokens = [np.repeat(self.base[term], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) for term, n in counted]
+        usual = np.bincount(np.concatenate(tokens), minlength=total) if total else np.zeros(0, np.int64)
+        need = [int(np.ceil(least * len(t) - 1e-9)) for t in tokens]
+        filed = [t[np.argsort(usual[t], kind="stable")][: len(t) - k // 2] for t, k in zip(tokens, need)]
+        self.required = np.array([max(1, k - k // 2) for k in need], np.int64)
+        token = np.concatenate(filed) if filed else np.zeros(0, np.int64)
+        order = np.argsort(token, kind="stable")
+        self.item = np.repeat(np.arange(len(filed)), [len(f) for f in filed])[order]
+        self.starts = np.searchsorted(token[order], np.arange(total + 1))
+        hashes = [_run_hashes(w, block.run) for w in block.words]
+        value = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        order = np.argsort(value, kind="stable")
+        self.run_hash, self.run_item = value[order], np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])[order]
+        self.places: dict[int, dict[int, int]] = {}
+
+    def near(self, term: np.ndarray, owner: np.ndarray, texts: int) -> Iterator[tuple[int, int]]:
+        """Pairs (text, item) with enough words in common; term and owner without foreign words, ordered by owner."""
+        items = len(self.required)
+        step = max(1, PAIRS_AT_ONCE // max(1, items))
+        for first in range(0, texts if items else 0, step):
+            s, e = np.searchsorted(owner, [first, first + step])
+            key = np.sort((owner[s:e] - first) * len(self.most) + term[s:e])
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+            place = np.arange(len(key)) - np.repeat(start, np.diff(np.append(start, len(key))))
+            text, t = key // len(self.most), key % len(self.most)
+            keep = place < self.most[t]
+            token, text = self.base[t[keep]] + place[keep], text[keep]
+            n = self.starts[token + 1] - self.starts[token]
+            item = self.item[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.starts[token], n)]
+            common = np.bincount(np.repeat(text, n) * items + item, minlength=step * items).reshape(-1, items)
+            a, b = np.nonzero(common >= self.required)
+            yield from zip((a + first).tolist(), b.tolist())
+
+    def runs(self, term: np.ndarray, owner: np.ndarray, block: Items) -> Iterator[tuple[int, int]]:
+        """Pairs (text, item) with a run of the required length in common."""
+        value = _run_hashes(term, block.run)
+        if not len(value) or not len(self.run_hash):
+            return
+        left, right = np.searchsorted(self.run_hash, value), np.searchsorted(self.run_hash, value, side="right")
+        for p in np.flatnonzero(right > left).tolist():
+            if owner[p] == owner[p + block.run - 1]:
+                for item in set(self.run_item[left[p] : right[p]].tolist()):
+                    if term[p : p + block.run].tobytes() in block.runs[item]:
+                        yield int(owner[p]), item
+
+    def subsequence(self, terms: list[int], item: int, words: np.ndarray) -> int:
+        """common_subsequence, by the bits of one whole number for the item's words."""
+        if item not in self.places:
+            self.places[item] = {}
+            for k, w in enumerate(words.tolist()):
+                self.places[item][w] = self.places[item].get(w, 0) | 1 << k
+        places, full = self.places[item], (1 << len(words)) - 1
+        row = full
+        for x in terms:
+            if x in places:
+                hit = row & places[x]
+                row = ((row + hit) | (row - hit)) & full
+        return len(words) - row.bit_count()
+
+
+def _close(trajectory: DataFrame, items, bags, share: float) -> DataFrame:
+    """traj_id, item_id, verbatim, share, has_answer: pairs with a run in common, and of each row the pairs that count as paraphrases."""
+
+    def run(iterator):
+        block, index = items.value, bags.value
+        terms = _Terms(block.vocabulary)
+        get = terms.__getitem__
+        for table in _batches(iterator, 2000):
+            ids, responses = table["traj_id"].to_pylist(), table["response"].to_pylist()
+            texts = [t or "" for pair in zip(table["prompt"].to_pylist(), responses) for t in pair]  # text k is of row k // 2
+            flat: list[int] = []
+            counts = np.zeros(len(texts), np.int64)
+            for k, text in enumerate(texts):
+                found = S.WORD.findall(text)
+                counts[k] = len(found)
+                flat.extend(map(get, found))
+            term, owner = np.array(flat, np.int64), np.repeat(np.arange(len(texts)), counts)
+            verbatim = {(t // 2, item) for t, item in index.runs(term, owner, block)}
+            inside = term >= 0
+            term, owner = term[inside], owner[inside]
+            at = np.searchsorted(owner, np.arange(len(texts) + 1))
+            best: dict[tuple[int, int], float] = {}
+            for t, item in index.near(term, owner, len(texts)):
+                if (t // 2, item) not in verbatim:
+                    words = block.words[item]
+                    reached = index.subsequence(term[at[t] : at[t + 1]].tolist(), item, words) / len(words)
+                    best[t // 2, item] = max(reached, best.get((t // 2, item), 0.0))
+            out = [(ids[r], block.ids[item], True, 0.0, False) for r, item in sorted(verbatim)]
+            for (r, item), reached in sorted(best.items()):
+                if reached >= share * 2 / 3:
+                    answer = block.answers[item]
+                    has = bool(answer) and answer in _spaced(responses[r])
+                    if reached >= share or has:
+                        out.append((ids[r], block.ids[item], False, reached, has))
+            names = ["traj_id", "item_id", "verbatim", "share", "has_answer"]
+            types = [pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names)
+
+    rows = trajectory.where("traj_id is not null").select("traj_id", "prompt", "response")
+    return rows.mapInArrow(run, "traj_id long, item_id long, verbatim boolean, share double, has_answer boolean")
+
+
 def paraphrases(trajectory: DataFrame, eval_item: DataFrame, share: float = 0.6) -> DataFrame:
     """traj_id, item_id, share (longest common subsequence over the item's words), has_answer, for pairs that share no verbatim passage.
 
-    A pair counts from `share` on, or from two thirds of that if the item's answer, of three characters or more, stands in the response.
+    The subsequence is that of the whole prompt or the whole response, whichever is longer. A pair counts from `share` on, or from two thirds of that
+    if the item's answer, of three characters or more, stands in the response.
     """
-    pairs = candidates(trajectory, eval_item, 12, 6, 8, 2, 0.85, 3, True)
-    best = pairs.groupBy("traj_id", "item_id").agg(F.max("run").alias("run"), F.max(F.col("subsequence") / F.col("item_words")).alias("share"))
-    best = best.where((F.col("run") < 12) & (F.col("share") >= share * 2 / 3))
-    texts = trajectory.select("traj_id", "response").where("traj_id is not null").dropDuplicates(["traj_id"])
-    answers = eval_item.where("item_id is not null").select("item_id", F.lower(F.trim("answer")).alias("answer")).dropDuplicates(["item_id"])
-    words = lambda c: F.concat(F.lit(" "), F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    out = best.join(answers, "item_id").join(texts, "traj_id")
-    has = F.coalesce((F.length("answer") >= 3) & F.contains(words(F.coalesce("response", F.lit(""))), words(F.col("answer"))), F.lit(False))
-    out = out.withColumn("has_answer", has)
-    return out.where((F.col("share") >= share) | F.col("has_answer")).select("traj_id", "item_id", "share", "has_answer")
+    context = trajectory.sparkSession.sparkContext
+    out = None
+    for block in item_blocks(eval_item, 12, 6):
+        close = _close(trajectory, context.broadcast(block), context.broadcast(Bags(block, share * 2 / 3)), share)
+        out = close if out is None else out.unionByName(close)
+    best = out.groupBy("traj_id", "item_id").agg(*(F.max(c).alias(c) for c in ("verbatim", "share", "has_answer")))
+    return best.where(~F.col("verbatim")).select("traj_id", "item_id", "share", "has_answer")
