@@ -1,9 +1,9 @@
 """Problem 5: new batches against everything accepted before.
 
 A record's bit-difference fingerprint holds BLOCKS blocks of bits, each made of a few low bits of PER_BLOCK minwise hashes of its three-word
-shingles, and 256 further bits for the Hamming distance. The index stores a fingerprint once for each block, rotated so that this block leads
-(the key is the block's number and value), and is only ever appended to. A new record looks up its own blocks by exact match, survivors of
-the Hamming test are verified by text.
+shingles, and 256 further bits for the Hamming distance. The index stores fingerprints with all their blocks and is only ever appended to; for a
+lookup each is given once for each block, rotated so that this block leads (the key is the block's number and value). A new record looks up its own
+blocks by exact match, survivors of the Hamming test are verified by the whole set of shingles.
 
 Bits of sums of signed hashes (the older kind of bit-difference fingerprint) differ in about 12 of 64 places at similarity 0.7, too many for
 exact block matches; low bits of minwise hashes agree far more often in whole blocks, and their Hamming distance measures the similarity itself.
@@ -11,15 +11,17 @@ exact block matches; low bits of minwise hashes agree far more often in whole bl
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, scratch_dir
 from . import shingles as S
 from .copies import bare, multiset_fingerprint
-from .near import _batches, _texts, bits_apart, only_ids, shingle_table, similarity
+from .near import _batches, _texts, bits_apart, only_ids, similarity
 
 #: With similarity 0.7 a block of four agrees with probability (0.7 + 0.3 / 16) ** 4 = 0.267, so all 32 fail with 0.00005; at 0.75 with 0.000003.
 BLOCKS, PER_BLOCK, BITS_EACH = 32, 4, 4
@@ -65,29 +67,37 @@ def first_of_each(prints: DataFrame) -> DataFrame:
     return prints.groupBy("h1", "h2").agg(F.min(F.struct("part", "id", "n", *BITS, "blocks")).alias("x")).select("h1", "h2", "x.*")
 
 
-def block_rows(prints: DataFrame) -> DataFrame:
-    return prints.select(F.explode("blocks").alias("block"), "part", "id", "n", *BITS)
+def block_rows(prints: DataFrame, *more: str) -> DataFrame:
+    return prints.select(F.explode("blocks").alias("block"), *more, "part", "id", "n", *BITS)
 
 
-def lookup(index: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
-    """id, i_part, i_id: probes and earlier indexed records that share a block, fit in size and pass the Hamming test."""
-    a, b = block_rows(probes), block_rows(index).select("block", *(F.col(c).alias(f"i_{c}") for c in ("part", "id", "n", *BITS)))
-    earlier = (F.col("i_part") < F.col("part")) | ((F.col("i_part") == F.col("part")) & (F.col("i_id") < F.col("id")))
-    near = (F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
-    return a.join(b, (a["block"] == b["block"]) & earlier & near).select("id", "i_part", "i_id").distinct()
+def shingle_rows(records: DataFrame, width: int) -> DataFrame:
+    """part, id and its distinct shingles."""
+
+    def run(iterator):
+        for table in _batches(iterator, 2000):
+            values, sizes = S.shingle_sets(*S.word_hashes(_texts(table)), width)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(table[c].combine_chunks() for c in ("part", "id")), lists], ["part", "id", "s"])
+
+    return records.mapInArrow(run, "part int, id long, s array<long>")
 
 
-def exact_repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Ids of incoming records with an earlier copy: same letters and digits of prompt and of response, in order. Verified by digest."""
+def copy_prints(records: DataFrame) -> DataFrame:
+    """part, id and fingerprint and digest of the letters and digits of prompt and of response, in order."""
+    values = {"prompt": F.col("v0"), "response": F.col("v1")}
+    rows = records.select("part", "id", bare(F.col("prompt")).alias("v0"), bare(F.col("response")).alias("v1"))
+    return rows.select("part", "id", *multiset_fingerprint(values), F.unhex(F.sha2(F.concat_ws("|", F.sha2("v0", 512), F.sha2("v1", 512)), 256)).alias("digest"))
 
-    def prints(records):
-        values = {"prompt": F.col("v0"), "response": F.col("v1")}
-        rows = records.select("part", "id", bare(F.col("prompt")).alias("v0"), bare(F.col("response")).alias("v1"))
-        return rows.select("part", "id", *multiset_fingerprint(values), F.unhex(F.sha2(F.concat_ws("|", F.sha2("v0", 512), F.sha2("v1", 512)), 256)).alias("digest"))
 
-    new = prints(incoming)
-    first = prints(history).unionByName(new).groupBy("f1", "f2", "digest").agg(F.min(F.struct("part", "id")).alias("first"))
-    return new.join(first, ["f1", "f2", "digest"]).where(F.col("first") < F.struct("part", "id")).select("id").distinct()
+def lookup(index: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
+    """id, i_fresh, i_part, i_id: probes and indexed records that share a block, fit in size and pass the Hamming test. A stored record is earlier
+    than all probes, a fresh one by its part and id."""
+    a, b = block_rows(probes), block_rows(index, "fresh").select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n", *BITS)))
+    earlier = ~F.col("i_fresh") | (F.col("i_part") < F.col("part")) | ((F.col("i_part") == F.col("part")) & (F.col("i_id") < F.col("id")))
+    near = (F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
+    return a.join(b, (a["block"] == b["block"]) & earlier & near).select("id", "i_fresh", "i_part", "i_id").distinct()
 
 
 def sent_again(incoming: DataFrame, registry: DataFrame) -> DataFrame:
@@ -97,61 +107,76 @@ def sent_again(incoming: DataFrame, registry: DataFrame) -> DataFrame:
     return incoming.where("in_id is not null").select(F.col("in_id").alias("id"), key("trajectories_sha256").alias("digest")).join(known, "digest", "left_semi").select("id").distinct()
 
 
-def near_repeats(index: DataFrame, probes: DataFrame, history: DataFrame, incoming: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Ids of probes that have an earlier record of that similarity, verified by the whole texts of both."""
-    pairs = materialise(lookup(index, probes, threshold), "pairs")
-    new_ids = materialise(pairs.select("id").union(pairs.where(F.col("i_part") > HISTORY).select("i_id")).distinct(), "ids")
-    old_ids = materialise(pairs.where(F.col("i_part") == HISTORY).select(F.col("i_id").alias("id")).distinct(), "ids")
-    texts = lambda r, ids: only_ids(r.select("id", "prompt", "response"), ids)
-    new = materialise(shingle_table(texts(incoming, new_ids), width), "sets")
-    old = shingle_table(texts(history, old_ids), width)
-    indexed = old.select(F.lit(True).alias("i_old"), F.col("id").alias("i_id"), F.col("s").alias("sb")).unionByName(new.select(F.lit(False).alias("i_old"), F.col("id").alias("i_id"), F.col("s").alias("sb")))
-    out = pairs.select("id", "i_id", (F.col("i_part") == HISTORY).alias("i_old")).join(new.select("id", F.col("s").alias("sa")), "id").join(indexed, ["i_old", "i_id"])
-    return out.where(similarity() >= threshold).select("id").distinct()
-
-
 def repeats(trajectory: DataFrame, incoming: DataFrame, registry: DataFrame, threshold: float = 0.7, width: int = 3) -> DataFrame:
-    """in_id, kind ('exact' or 'near') of every incoming record that repeats an earlier one.
+    """in_id, kind ('exact' or 'near') of every incoming record that repeats an earlier one: a new index of `trajectory`, and HistoryIndex.repeats.
 
     Earlier are all of `trajectory`, all earlier batches and smaller ids of the same batch. A record under a digest of history counts as
     'exact'. Null texts count as empty; rows with a null id are left out; records without shingles can only be exact repeats; empty tables give
     no rows.
     """
-    history, new = ordered_history(trajectory), ordered_incoming(incoming)
-    exact = materialise(exact_repeats(history, new).union(sent_again(incoming, registry)).distinct(), "exact")
-    prints = materialise(fingerprints(history.unionByName(new), width), "prints")
-    index = materialise(first_of_each(prints).select("part", "id", "n", "blocks", *BITS), "index")
-    open_ = prints.where(F.col("part") > HISTORY).join(exact, "id", "left_anti")
-    near = near_repeats(index, open_, history, new, threshold, width)
-    return exact.select(F.col("id").alias("in_id"), F.lit("exact").alias("kind")).unionByName(near.select(F.col("id").alias("in_id"), F.lit("near").alias("kind")))
+    spark = trajectory.sparkSession
+    index = HistoryIndex(spark, f"{scratch_dir(spark)}/index-{uuid.uuid4().hex[:12]}", threshold, width)
+    index.append(ordered_history(trajectory))
+    return index.repeats(incoming, registry).select(F.col("id").alias("in_id"), "kind")
 
 
 class HistoryIndex:
-    """The index as a stored table, for batches that come one after the other: `check` a batch, then `append` it; history isn't read again."""
+    """The index as a stored table, for batches that come one after the other: `repeats` of a batch, or of several that wait, then `append` of their
+    records; history isn't read again."""
 
     def __init__(self, spark, path: str, threshold: float = 0.7, width: int = 3):
         self.spark, self.path, self.threshold, self.width = spark, path.rstrip("/"), threshold, width
 
+    def _has(self, table: str) -> bool:
+        context = self.spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}/_SUCCESS")
+        return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+
+    def _stored(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{table}")
+
     def append(self, records: DataFrame) -> None:
-        """Adds part, id, prompt, response records: their block rows by block, and their copy fingerprints."""
-        prints = fingerprints(records, self.width)
-        rows = block_rows(prints)
-        rows.withColumn("table", F.shiftright("block", BITS_EACH * PER_BLOCK)).repartition("table", F.pmod(F.xxhash64("block"), F.lit(16))).write.mode("append").partitionBy("table").parquet(f"{self.path}/blocks")
-        values = {"prompt": bare(F.col("prompt")), "response": bare(F.col("response"))}
-        records.select("part", "id", *multiset_fingerprint(values)).write.mode("append").parquet(f"{self.path}/copies")
-        shingle_table(records, self.width).join(records.select("id", "part"), "id").write.mode("append").parquet(f"{self.path}/sets")
+        """Adds part, id, prompt, response records: copy fingerprints and shingles of all, and the fingerprint of each new word sequence."""
+        firsts = first_of_each(fingerprints(records, self.width))
+        if self._has("prints"):
+            firsts = firsts.join(self._stored("prints").select("h1", "h2"), ["h1", "h2"], "left_anti")
+        for table, rows in (("sets", shingle_rows(records, self.width)), ("copies", copy_prints(records)), ("prints", firsts)):
+            rows.write.mode("append").parquet(f"{self.path}/{table}")
 
     def check(self, batch: DataFrame) -> DataFrame:
-        """id, kind of the batch's records that repeat an indexed one."""
-        values = {"prompt": bare(F.col("prompt")), "response": bare(F.col("response"))}
-        known = self.spark.read.parquet(f"{self.path}/copies").select("f1", "f2").distinct()
-        exact = batch.select("id", *multiset_fingerprint(values)).join(known, ["f1", "f2"], "left_semi").select("id").distinct()
-        probes = block_rows(fingerprints(batch, self.width)).join(exact, "id", "left_anti")
-        index = self.spark.read.parquet(f"{self.path}/blocks").select("block", *(F.col(c).alias(f"i_{c}") for c in ("part", "id", "n", *BITS)))
-        near = (F.least("n", "i_n") >= F.lit(self.threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
-        pairs = probes.join(index, (probes["block"] == index["block"]) & near).select("id", "i_part", "i_id").distinct()
-        sets = self.spark.read.parquet(f"{self.path}/sets")
-        mine = shingle_table(batch, self.width).select("id", F.col("s").alias("sa"))
-        out = pairs.join(mine, "id").join(sets.select(F.col("part").alias("i_part"), F.col("id").alias("i_id"), F.col("s").alias("sb")), ["i_part", "i_id"])
-        near_ids = out.where(similarity() >= self.threshold).select("id").distinct()
-        return exact.select("id", F.lit("exact").alias("kind")).unionByName(near_ids.select("id", F.lit("near").alias("kind")))
+        """id, kind of the records (part, id, prompt, response) that repeat an indexed one. Repeats inside the batch and digests of history are
+        left to `repeats`."""
+        return self._find(batch, False, None)
+
+    def repeats(self, incoming: DataFrame, registry: DataFrame) -> DataFrame:
+        """id, kind of the incoming records, of one batch or several, that repeat an indexed one, one of an earlier batch or one of a smaller id of
+        their own batch, or come under a digest that the registry has for history."""
+        return self._find(ordered_incoming(incoming), True, sent_again(incoming, registry))
+
+    def _find(self, new: DataFrame, within: bool, sent: DataFrame | None) -> DataFrame:
+        exact = self._exact(new, within)
+        exact = materialise(exact if sent is None else exact.union(sent).distinct(), "exact")
+        prints = materialise(fingerprints(new, self.width), "prints")
+        keys = ["part", "id", "n", "blocks", *BITS]
+        index = self._stored("prints").select(F.lit(False).alias("fresh"), *keys)
+        if within:
+            index = index.unionByName(first_of_each(prints).select(F.lit(True).alias("fresh"), *keys))
+        near = self._near(materialise(lookup(index, prints.join(exact, "id", "left_anti"), self.threshold), "pairs"), new)
+        return exact.select("id", F.lit("exact").alias("kind")).unionByName(near.select("id", F.lit("near").alias("kind")))
+
+    def _exact(self, new: DataFrame, within: bool) -> DataFrame:
+        """Ids of the new records with an earlier copy: same letters and digits of prompt and of response, in order. Verified by digest."""
+        mine = copy_prints(new).withColumn("place", F.struct(F.lit(True).alias("fresh"), "part", "id"))
+        known = self._stored("copies").withColumn("place", F.struct(F.lit(False).alias("fresh"), "part", "id"))
+        first = (known.unionByName(mine) if within else known).groupBy("f1", "f2", "digest").agg(F.min("place").alias("first"))
+        return mine.join(first, ["f1", "f2", "digest"]).where(F.col("first") < F.col("place")).select("id").distinct()
+
+    def _near(self, pairs: DataFrame, new: DataFrame) -> DataFrame:
+        """Ids of the pairs that reach the threshold, by the whole sets of shingles of both."""
+        new_ids = materialise(pairs.select("id").union(pairs.where("i_fresh").select("i_id")).distinct(), "ids")
+        old_ids = materialise(pairs.where("not i_fresh").select(F.col("i_id").alias("id")).distinct(), "ids")
+        mine = materialise(shingle_rows(only_ids(new, new_ids), self.width), "sets")
+        sets = lambda rows, fresh: rows.select(F.lit(fresh).alias("i_fresh"), F.col("part").alias("i_part"), F.col("id").alias("i_id"), F.col("s").alias("sb"))
+        indexed = sets(only_ids(self._stored("sets"), old_ids), False).unionByName(sets(mine, True))
+        out = pairs.join(mine.select("id", F.col("s").alias("sa")), "id").join(indexed, ["i_fresh", "i_part", "i_id"])
+        return out.where(similarity() >= self.threshold).select("id").distinct()

@@ -2,9 +2,10 @@
 
 import random
 
-from test_pairs import ITEM, SCHEMA, text, words
+from pyspark.sql import functions as F
+from test_pairs import ITEM, SCHEMA, batch_truth, table, text, words
 
-from curata.llm import leaks
+from curata.llm import batches, leaks
 
 
 def subsequence(a, b):
@@ -49,3 +50,26 @@ def test_paraphrases_over_whole_fields(spark):
     assert got == paraphrase_truth(rows, items)
     assert {(1, 1), (2, 1), (4, 1), (7, 1)} <= set(got) and not {(3, 1), (5, 1)} & set(got) and got[1, 1][0] >= 0.8
     assert leaks.paraphrases(t.limit(0), e).count() == 0 and leaks.paraphrases(t, e.limit(0)).count() == 0
+
+
+def test_stored_index_finds_repeats_inside_a_batch(spark, tmp_path):
+    rows = table(6, 90)
+    history, later = rows[:40], rows[40:]
+    incoming = [(i, 1 + k // 25, ("d1", " D2 ", None)[k % 3], p, r) for k, (i, p, r) in enumerate(later)]
+    incoming += [(2000 + i, 5, None, "a new prompt", "one new text that a third of the batch repeats") for i in range(25)]
+    incoming += [(3000, 6, None, *history[0][1:]), (3001, 6, None, "a new prompt one", "new text that a third of the batch repeats")]
+    h = spark.createDataFrame(history, SCHEMA)
+    n = spark.createDataFrame(incoming, "in_id long, batch_no int, trajectories_sha256 string, prompt string, response string")
+    known = spark.createDataFrame([(1, "d2", None), (2, "d1", 3)], "line_no long, trajectories_sha256 string, batch_no int")
+    truth = batch_truth(history, incoming, {"d2"})
+    truth |= {r[0]: "exact" for r in incoming if (r[2] or "").strip().lower() == "d2"}
+    index = batches.HistoryIndex(spark, str(tmp_path / "index"))
+    index.append(batches.ordered_history(h))
+    at_once = {r["id"]: r["kind"] for r in index.repeats(n, known).collect()}
+    step = {}
+    for part in sorted({r[1] for r in incoming}):
+        batch = n.where(F.col("batch_no") == part)
+        step |= {r["id"]: r["kind"] for r in index.repeats(batch, known).collect()}
+        index.append(batches.ordered_incoming(batch))
+    assert at_once == step == truth
+    assert sum(2000 <= i < 3000 for i in step) == 24 and step[3001] == "near"
