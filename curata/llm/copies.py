@@ -94,3 +94,10 @@ def found(trajectory: DataFrame, raw: DataFrame) -> DataFrame:
     fields = ["prompt", "response"]
     parts = [collapse_copies(t, i, fields).select(F.lit(name).alias("src_table"), "keep_id", "copy_id") for name, t, i in (("trajectory", trajectory, "traj_id"), ("trajectory_raw", raw_records(raw), "raw_id"))]
     return parts[0].unionByName(parts[1])
+
+
+def counts(trajectory: DataFrame, raw: DataFrame) -> DataFrame:
+    """src_table, keep_id, n_copies over both tables."""
+    fields = ["prompt", "response"]
+    parts = [copy_counts(t, i, fields).select(F.lit(name).alias("src_table"), "keep_id", "n_copies") for name, t, i in (("trajectory", trajectory, "traj_id"), ("trajectory_raw", raw_records(raw), "raw_id"))]
+    return parts[0].unionByName(parts[1])

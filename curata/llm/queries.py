@@ -42,6 +42,10 @@ def p4_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.copy_counts(_t(spark, sf_dir, "trajectory"), "traj_id", ["prompt", "response"])
 
 
+def p4_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.counts(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "trajectory_raw"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.repeats(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "incoming_trajectory"), _t(spark, sf_dir, "registry"))
 
@@ -75,7 +79,7 @@ def p8_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p4_table_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
 
 
 _BARE = "regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
@@ -106,6 +110,7 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY a.id, b.id, x.n, y.n HAVING count(*) >= 0.7 * (x.n + y.n - count(*))""",
         "p4_found": f"SELECT 'trajectory' AS src_table, keep_id, id AS copy_id FROM ({copied.format(norm)}) WHERE id <> keep_id UNION ALL SELECT 'trajectory_raw', keep_id, id FROM ({copied.format(rnorm)}) WHERE id <> keep_id",
         "p4_counts": f"SELECT min(id) AS keep_id, count(*) AS n_copies FROM ({norm}) GROUP BY p, r",
+        "p4_table_counts": f"SELECT 'trajectory' AS src_table, min(id) AS keep_id, count(*) AS n_copies FROM ({norm}) GROUP BY p, r UNION ALL SELECT 'trajectory_raw', min(id), count(*) FROM ({rnorm}) GROUP BY p, r",
         "p5_found": "WITH" + _SHINGLES.format("trajectory", "traj_id") + "," + _SHINGLES.format("incoming_trajectory", "in_id") + f""",
             earlier AS (SELECT id - 1000000000000 AS o, s FROM shingles_trajectory UNION ALL SELECT id, s FROM shingles_incoming_trajectory),
             n AS (SELECT o, count(*) AS n FROM earlier GROUP BY o),

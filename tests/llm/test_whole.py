@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 from test_pairs import ITEM, SCHEMA, batch_truth, table, text, words
 
-from curata.llm import batches, leaks
+from curata.llm import batches, copies, leaks
 
 
 def subsequence(a, b):
@@ -73,3 +73,9 @@ def test_stored_index_finds_repeats_inside_a_batch(spark, tmp_path):
         index.append(batches.ordered_incoming(batch))
     assert at_once == step == truth
     assert sum(2000 <= i < 3000 for i in step) == 24 and step[3001] == "near"
+
+
+def test_counts_of_both_tables(spark):
+    t = spark.createDataFrame([(1, "A", "b"), (2, "a.", "B"), (3, "c", None)], SCHEMA)
+    raw = spark.createDataFrame([(5, '{"prompt": "A", "response": "b"}'), (6, '{"response": "B!", "prompt": "a"}'), (7, "{"), (8, '{"prompt": "A"}')], "raw_id long, line string")
+    assert {tuple(r) for r in copies.counts(t, raw).collect()} == {("trajectory", 1, 2), ("trajectory", 3, 1), ("trajectory_raw", 5, 2), ("trajectory_raw", 8, 1)}
