@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RANK_FILE = os.environ.get("CURATA_RANK_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+MULTI_RANK_FILE = os.environ.get("CURATA_MULTI_RANK_FILE", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: The published pre-splitting pattern of byte_bpe_50k (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Texts above this many characters are cut at safe boundaries into pieces of about this length before encoding.

@@ -121,6 +121,42 @@ def test_pieces(text, pieces):
     assert [(k, text[s:e]) for s, e, k in pii.pieces(text, ANCHORS)] == pieces
 
 
+@pytest.mark.parametrize(
+    ("text", "pieces"),
+    [
+        ("Kim Lee measured the tile twice.", [("name", "Kim Lee")]),
+        ("Yesterday it failed. Priya Raman audited the tile.", [("name", "Priya Raman")]),
+        ("Dr. Ada Lovelace and Prof. Alan Turing met Grace Hopper.", [("name", "Ada Lovelace"), ("name", "Alan Turing"), ("name", "Grace Hopper")]),
+        ("Contact: Maria Rossi <m.rossi@uni.test>", [("name", "Maria Rossi"), ("email", "m.rossi@uni.test")]),
+        ("Ich heiße Anna Schmidt und komme aus Bonn.", [("name", "Anna Schmidt")]),
+        ("The Ring Buffer keeps the tile. On Blackwell it is. Beide Varianten stimmen. Apache Spark runs.", []),
+        ("My SSN is 900-12-3456 and the passport no. is X1234567", [("id_number", "900-12-3456"), ("id_number", "X1234567")]),
+        ("IBAN DE89 3704 0044 0532 0130 00, or GB82WEST12345698765432, GB82 WEST 1234 5698 7654 32.", [("id_number", "DE89 3704 0044 0532 0130 00"), ("id_number", "GB82WEST12345698765432"), ("id_number", "GB82 WEST 1234 5698 7654 32")]),
+        ("GB83WEST12345698765432 fails its check digits", []),
+        ("account number 12345678, sort code 12-34-56", [("id_number", "12345678"), ("id_number", "12-34-56")]),
+        ("get ftp://joe:pw@host.example/x now, see https://x.test/?m=joe@y.test", [("email", "joe@y.test")]),
+        ("write to a.very@" + "x" * 40 + "." + "y" * 60 + "." + "z" * 60 + ".example today", [("email", "a.very@" + "x" * 40 + "." + "y" * 60 + "." + "z" * 60 + ".example")]),
+        ("Der Sitz ist Via Roma 12, Milano", [("address", "Via Roma 12")]),
+        ("She is at 221B Baker Street and works there. Take 36 Fast Lane samples.", [("address", "221B Baker Street")]),
+        ("tel:+442079460018 ip 192.168.100.200 date 2026-05-12 10:22:33 v1.22.333", [("phone", "+442079460018")]),
+    ],
+)
+def test_pieces_of_other_texts(text, pieces):
+    assert [(k, text[s:e]) for s, e, k in pii.pieces(text, ANCHORS)] == pieces
+
+
+@pytest.mark.parametrize("part", ["a@", "1 ", "12-34 ", "Grace ", "x at ", " street", "a.b.", "9", "\n", "Best\n", "from: ", "Am ", "A-", "x@a."])
+def test_long_texts_take_linear_time(part):
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        pii.pieces(part * n, ANCHORS)
+        return time.process_time() - began
+
+    assert seconds(40_000) < 0.5 + 20 * seconds(5_000)
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "Ask Grace Stone, g@x.test."), (2, None), (3, ""), (None, "g@x.test"), (1, "Ask Grace Stone, g@x.test."), (4, "g@x.test " * 50_000)], "doc_id long, text string").withColumn("kind", F.lit(0))
     lexicon = spark.createDataFrame(LEXICON, "token string, kind string")
