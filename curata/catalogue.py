@@ -185,19 +185,23 @@ def registry_appended(spark, d):
     return R.appended(*_versions(spark, d))
 
 
-@query(f"WITH {_LINES} SELECT place FROM v WHERE batch_no IS NULL AND place % 7 = 0")
+_PLAIN_LINE = "concat_ws('|', " + _strip("miner") + ", regexp_replace(" + _strip("hf_url") + ", '/+$', ''), lower(" + _strip("trajectories_sha256") + "))"
+
+
+@query(f"WITH {_LINES}, p AS (SELECT line_no AS place, {_PLAIN_LINE} AS line FROM registry) SELECT v.place FROM v LEFT JOIN p USING (place) WHERE v.batch_no IS NULL AND v.line IS DISTINCT FROM p.line")
 def registry_rewritten(spark, d):
-    """History against a file in which every seventh line was changed."""
-    base, head = _versions(spark, d)
-    changed = head.withColumn("line", F.when(F.col("place") % 7 == 0, F.concat("line", F.lit("!"))).otherwise(F.col("line")))
-    return R.rewritten(base, changed)
+    """History against a file in which every line was written anew in its normal form."""
+    base, _ = _versions(spark, d)
+    plain = F.concat_ws("|", T.strip(F.col("miner")), F.regexp_replace(T.strip(F.col("hf_url")), "/+$", ""), F.lower(T.strip(F.col("trajectories_sha256"))))
+    return R.rewritten(base, _t(spark, d, "registry").select(F.col("line_no").alias("place"), plain.alias("line")))
 
 
-@query("""SELECT place, line_no, trajectories_sha256 FROM (SELECT trajectories_sha256, min(1000000 - line_no) AS place FROM registry WHERE line_no % 3 = 0 GROUP BY 1)
+@query("""SELECT place, line_no, trajectories_sha256 FROM (SELECT trajectories_sha256, min(-line_no) AS place FROM registry WHERE batch_no IS NOT NULL GROUP BY 1)
     JOIN (SELECT trajectories_sha256, max(line_no) AS line_no FROM registry GROUP BY 1) USING (trajectories_sha256)""")
 def registry_selected(spark, d):
+    """The digests of the incoming batches, asked for in the reverse order of the file."""
     r = _t(spark, d, "registry")
-    return R.selected(r, r.where("line_no % 3 = 0").select((F.lit(1000000) - F.col("line_no")).alias("place"), "trajectories_sha256"))
+    return R.selected(r, r.where("batch_no is not null").select((-F.col("line_no")).alias("place"), "trajectories_sha256"))
 
 
 @query("""WITH r AS (SELECT lower(trajectories_sha256) AS digest, max(rows_total) AS claimed FROM registry WHERE trajectories_sha256 IS NOT NULL GROUP BY 1),
@@ -332,7 +336,7 @@ def speedups(spark, d):
     return reports.speedups(rows).withColumn("speedup", F.round("speedup", 6))
 
 
-@query("SELECT l_suppkey AS file, greatest(max(l_quantity * 30) * 100 / 1800.0, max(l_tax * 1000) * 100 / 838.0) AS efficiency FROM lineitem GROUP BY 1 HAVING greatest(max(l_quantity * 30) * 100 / 1800.0, max(l_tax * 1000) * 100 / 838.0) < 100")
+@query("SELECT l_suppkey AS file, greatest(round(max(l_quantity * 30) * 100 / 1800.0, 4), round(max(l_tax * 1000) * 100 / 838.0, 4)) AS efficiency FROM lineitem GROUP BY 1 HAVING greatest(round(max(l_quantity * 30) * 100 / 1800.0, 4), round(max(l_tax * 1000) * 100 / 838.0, 4)) < 100")
 def efficiency(spark, d):
     rows = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("file"), (F.col("l_quantity") * 30).alias("bandwidth"), (F.col("l_tax") * 1000).alias("compute"))
     return reports.efficiency(rows)
@@ -352,11 +356,19 @@ def newest_event(spark, d):
     return _t(spark, d, "events").groupBy("event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
 
 
-@query("SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.exact') AS DOUBLE), try_cast(json_extract_string(props, '$.k') AS DOUBLE)) AS metric FROM events")
+@query("""SELECT event_id, CASE event_type WHEN 'click' THEN k + 1 WHEN 'view' THEN k + 2 WHEN 'error' THEN k + 3 ELSE k END AS metric FROM (SELECT event_id, event_type, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)""")
 def metric_lookup(spark, d):
-    values = F.from_json("props", "map<string,double>")
-    keyed = F.transform_keys(values, lambda k, v: F.when(k == "k", F.lit("exact,none")).otherwise(k))
-    return _t(spark, d, "events").select("event_id", T.metric_of(keyed, "exact").alias("metric"))
+    """Maps of four filters: with the bare key, with strict-match, with none, with others only, by the kind of the event."""
+    k = F.from_json("props", "map<string,double>")["k"]
+    kind = F.col("event_type")
+    named = lambda *pairs: F.create_map(*(x for key, add in pairs for x in (F.lit(key), k + add)))
+    values = (
+        F.when(kind == "click", named(("exact,zz", 9.0), ("exact,strict-match", 1.0), ("exact,none", 8.0)))
+        .when(kind == "view", named(("exact,aa", 9.0), ("exact,none", 2.0), ("exactly", 7.0)))
+        .when(kind == "error", named(("exact,flexible", 3.0), ("exact,zz", 9.0), ("other", 7.0)))
+        .otherwise(named(("exact", 0.0), ("exact,strict-match", 9.0)))
+    )
+    return _t(spark, d, "events").select("event_id", T.metric_of(values, "exact").alias("metric"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -431,7 +443,8 @@ def _pairs(spark, d):
     return _t(spark, d, "trajectory").where("response is not null and reasoning is not null").select(F.col("traj_id").alias("key"), F.col("response").alias("candidate"), F.col("reasoning").alias("reference"))
 
 
-_TOKENS = """w AS (SELECT traj_id AS key, [x FOR x IN regexp_split_to_array(response, '[ \\t\\n\\x0b\\f\\r]+') IF x <> ''] AS c, [x FOR x IN regexp_split_to_array(reasoning, '[ \\t\\n\\x0b\\f\\r]+') IF x <> ''] AS r
+_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in T.WHITE_SPACE) + "]+"
+_TOKENS = f"""w AS (SELECT traj_id AS key, [x FOR x IN regexp_split_to_array(response, '{_SPACE}') IF x <> ''] AS c, [x FOR x IN regexp_split_to_array(reasoning, '{_SPACE}') IF x <> ''] AS r
     FROM trajectory WHERE response IS NOT NULL AND reasoning IS NOT NULL),
   cg AS (SELECT key, n, array_to_string(c[i:i + n - 1], ' ') AS g, count(*) AS k FROM w, unnest([1, 2, 3, 4]) AS a(n), unnest(generate_series(1, greatest(0, len(c) - n + 1))) AS u(i) GROUP BY 1, 2, 3),
   rg AS (SELECT key, n, array_to_string(r[i:i + n - 1], ' ') AS g, count(*) AS k FROM w, unnest([1, 2, 3, 4]) AS a(n), unnest(generate_series(1, greatest(0, len(r) - n + 1))) AS u(i) GROUP BY 1, 2, 3),
@@ -460,20 +473,12 @@ def corpus_bleu(spark, d):
 _KEYWORDS = "('" + "', '".join(similarity.KEYWORDS) + "')"
 
 
-@query(f"""WITH {_TOKENS}, t AS (SELECT rg.key, CASE WHEN rg.g IN {_KEYWORDS} THEN 1.0::DOUBLE ELSE 0.2 END AS wt, rg.k AS want, least(rg.k, coalesce(cg.k, 0)) AS hit FROM rg LEFT JOIN cg ON cg.key = rg.key AND cg.n = 1 AND cg.g = rg.g WHERE rg.n = 1)
-    SELECT w.key AS traj_id, round(sum(wt * hit) / sum(wt * want), 6) AS recall FROM w LEFT JOIN t ON t.key = w.key GROUP BY 1""")
+@query(f"""WITH {_TOKENS}, t AS (SELECT rg.key, rg.n, CASE WHEN rg.n > 1 THEN 1.0::DOUBLE WHEN rg.g IN {_KEYWORDS} THEN 1.0 ELSE 0.2 END AS wt, rg.k AS want, least(rg.k, coalesce(cg.k, 0)) AS hit FROM rg LEFT JOIN cg ON cg.key = rg.key AND cg.n = rg.n AND cg.g = rg.g),
+    o AS (SELECT key, n, sum(wt * hit) AS hit, sum(wt * want) AS want FROM t GROUP BY 1, 2),
+    q AS (SELECT w.key, len(w.c) AS cl, max(hit) FILTER (n = 1) AS h1, max(want) FILTER (n = 1) AS w1, sum(ln(CASE WHEN hit > 0 THEN hit ELSE 0.1 END / want)) AS logs, count(o.n) AS orders FROM w LEFT JOIN o ON o.key = w.key GROUP BY w.key, w.c)
+    SELECT key AS traj_id, round(h1 / w1, 6) AS recall, round(CASE WHEN coalesce(h1, 0) > 0 THEN CASE WHEN cl > 2 THEN 1 ELSE exp(1 - 2.0 / cl) END * exp((logs + (4 - orders) * ln(0.1)) / 4) ELSE 0 END, 6) AS weighted_bleu FROM q""")
 def weighted_recall(spark, d):
-    return similarity.weighted_recall(_pairs(spark, d)).select(F.col("key").alias("traj_id"), F.round("recall", 6).alias("recall"))
-
-
-@query()
-def code_similarity(spark, d):
-    """Subtrees, data flow, BLEU and weighted recall of each program against itself without its last line: four parts and their mean."""
-    rows = _with_code(spark, d).where(F.contains("c", F.lit("\n"))).select(F.col("traj_id").alias("key"), F.regexp_replace("c", r"\n[^\n]*\n?$", "").alias("candidate"), F.col("c").alias("reference"))
-    parts = rows.select("key", C.syntax_match("candidate", "reference").alias("syntax"), C.dataflow_match("candidate", "reference").alias("dataflow"))
-    both = parts.join(similarity.sentence_bleu(rows), "key").join(similarity.weighted_recall(rows), "key")
-    mean = sum(F.coalesce(c, F.lit(0.0)) for c in ("bleu", "recall", "syntax", "dataflow")) / 4
-    return both.select(F.col("key").alias("traj_id"), "bleu", F.col("recall").alias("weighted_recall"), "syntax", "dataflow", mean.alias("code_bleu"))
+    return similarity.weighted_recall(_pairs(spark, d)).select(F.col("key").alias("traj_id"), F.round("recall", 6).alias("recall"), F.round("weighted_bleu", 6).alias("weighted_bleu"))
 
 
 # --- digests and sets ------------------------------------------------------------------------------------------------------------------------
@@ -482,12 +487,23 @@ def content_digests(spark, d):
     return _t(spark, d, "trajectory").where("response is not null").select("traj_id", F.sha2("response", 256).alias("digest"))
 
 
-@query("SELECT lower(trajectories_sha256) AS digest, sha256(string_agg(sha256(coalesce(response, '')), '' ORDER BY line_no, traj_id)) AS bundle FROM trajectory GROUP BY 1")
+_LEAF = "SELECT lower(trajectories_sha256) AS digest, coalesce(line_no, 0) // {0} AS a, coalesce(line_no, 0) // {1} AS b, sha256(string_agg(sha256(coalesce(response, '')), '' ORDER BY line_no, traj_id)) AS h FROM trajectory GROUP BY ALL"
+
+
+@query(f"WITH x AS ({_LEAF.format(1000, 1000000)}), y AS (SELECT digest, b, sha256(string_agg(h, '' ORDER BY a)) AS h FROM x GROUP BY 1, 2) SELECT digest, sha256(string_agg(h, '' ORDER BY b)) AS bundle FROM y GROUP BY 1")
 def bundle_digests(spark, d):
-    """Digest of each component's digests in line order. A component's digests, 64 characters a row, are gathered in one array, as the chained hash
-    has to read them in order."""
-    rows = _t(spark, d, "trajectory").select(F.lower("trajectories_sha256").alias("digest"), F.struct("line_no", "traj_id", F.sha2(F.coalesce("response", F.lit("")), 256).alias("h")).alias("x"))
-    return rows.groupBy("digest").agg(F.array_sort(F.collect_list("x")).alias("xs")).select("digest", F.sha2(F.array_join(F.col("xs.h"), ""), 256).alias("bundle"))
+    """Digest of each component's content: a tree of digests in the order of lines. No task holds more than the digests of a thousand lines, of a
+    thousand of such, or of one component's millions."""
+    return digest_tree(_t(spark, d, "trajectory"))
+
+
+def digest_tree(rows: DataFrame, fan: int = 1000) -> DataFrame:
+    line = F.coalesce("line_no", F.lit(0))
+    leaf = rows.select(F.lower("trajectories_sha256").alias("digest"), F.floor(line / fan).alias("a"), F.floor(line / fan**2).alias("b"), F.struct("line_no", "traj_id", F.sha2(F.coalesce("response", F.lit("")), 256).alias("h")).alias("x"))
+    joined = F.sha2(F.array_join(F.array_sort(F.collect_list("x"))["h"], ""), 256)
+    first = leaf.groupBy("digest", "a", "b").agg(joined.alias("h")).select("digest", "b", F.struct("a", "h").alias("x"))
+    second = first.groupBy("digest", "b").agg(joined.alias("h")).select("digest", F.struct("b", "h").alias("x"))
+    return second.groupBy("digest").agg(joined.alias("bundle"))
 
 
 @query("""SELECT side, count(*) AS n FROM (SELECT 'only_registry' AS side, d FROM (SELECT lower(trajectories_sha256) AS d FROM registry WHERE trajectories_sha256 IS NOT NULL EXCEPT SELECT lower(trajectories_sha256) FROM trajectory)
@@ -501,8 +517,11 @@ def digest_sets(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import catalogue_checks  # noqa: F401 - it adds its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -87,3 +87,37 @@ def metric_of(values: Column, metric: str) -> Column:
     """A metric of a map whose keys may carry a filter: the bare key, then strict-match, then none, then the first other filter by name."""
     filters = F.array_sort(F.filter(F.map_keys(values), lambda k: k.startswith(metric + ",")))
     return F.coalesce(*(F.try_element_at(values, F.lit(k)) for k in (metric, f"{metric},strict-match", f"{metric},none")), F.try_element_at(values, F.try_element_at(filters, F.lit(1))))
+
+
+def metric_named(values: Column, metric: Column) -> Column:
+    """metric_of with a name that is a column."""
+    filters = F.array_sort(F.filter(F.map_keys(values), lambda k: k.startswith(F.concat(metric, F.lit(",")))))
+    return F.coalesce(*(F.try_element_at(values, k) for k in (metric, F.concat(metric, F.lit(",strict-match")), F.concat(metric, F.lit(",none")))), F.try_element_at(values, F.try_element_at(filters, F.lit(1))))
+
+
+def indented(text: Column, prefix: str = "    ") -> Column:
+    """Every line behind a prefix."""
+    return F.array_join(F.transform(F.split(text, "\n"), lambda line: F.concat(F.lit(prefix), line)), "\n")
+
+
+def claims_architecture(claims: Column) -> Column:
+    """Family of the first token in a struct of claims, written as JSON."""
+    return architecture(F.to_json(claims))
+
+
+def bundle_architecture(*claims: Column) -> Column:
+    """The first claim that names a family, else the default one."""
+    return F.coalesce(*map(architecture, claims), F.lit(DEFAULT_ARCHITECTURE))
+
+
+def padded_grams(tokens: Column, n: int, left: str | None = None, right: str | None = None) -> Column:
+    """The runs of n tokens, joined by blanks, with n - 1 marks before or after the tokens if they are given."""
+    pad = lambda mark: F.array(*(F.lit(mark) for _ in range(n - 1))).cast("array<string>") if mark is not None else F.array().cast("array<string>")
+    whole = F.concat(pad(left), tokens, pad(right))
+    starts = F.when(F.size(whole) >= n, F.sequence(F.lit(1), F.size(whole) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(whole, i, n), " "))
+
+
+def words(text: Column) -> Column:
+    """The text cut at Unicode white space."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE_SPACE) + "]+"), lambda w: w != "")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import ast
+import io
+import re
+import tokenize
 from functools import reduce
 
 import pandas as pd
@@ -96,6 +99,52 @@ def definitions(code: pd.Series) -> pd.Series:
     return code.map(one, na_action=None)
 
 
+def _without_comments(code: str) -> str:
+    """Python without comments, without strings that stand alone as a statement, and without blank lines; what isn't Python stays as it is."""
+    tree = _parsed(code)
+    if tree is None:
+        return code
+    try:
+        tokens = list(tokenize.generate_tokens(io.StringIO(code).readline))
+    except (tokenize.TokenError, IndentationError, SyntaxError):
+        return code
+    lines = code.splitlines(keepends=True)
+    offset = [0]
+    for line in lines:
+        offset.append(offset[-1] + len(line))
+    cuts = [(offset[t.start[0] - 1] + t.start[1], offset[t.end[0] - 1] + t.end[1]) for t in tokens if t.type == tokenize.COMMENT]
+    alone = {(n.value.lineno, n.value.end_lineno) for n in ast.walk(tree) if isinstance(n, ast.Expr) and isinstance(n.value, ast.Constant) and isinstance(n.value.value, str)}
+    cuts += [(offset[t.start[0] - 1] + t.start[1], offset[t.end[0] - 1] + t.end[1]) for t in tokens if t.type == tokenize.STRING and (t.start[0], t.end[0]) in alone and not lines[t.start[0] - 1][: t.start[1]].strip()]
+    out, at = [], 0
+    for start, end in sorted(cuts):
+        out.append(code[at:start])
+        at = end
+    text = "".join([*out, code[at:]])
+    return "\n".join(line.rstrip() for line in text.splitlines() if line.strip())
+
+
+#: Strings and comments of languages in the manner of C; strings come first, so that marks inside them stay.
+_C_STYLE = re.compile(r"""("(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|/\*.*?\*/|//[^\n]*""", re.DOTALL)
+
+
+def strip_comments(code: Column, language: str = "python") -> Column:
+    """Code without comments and blank lines; 'ruby' has no rule and stays as it is; null stays null."""
+
+    def one(text):
+        if text is None or language == "ruby":
+            return text
+        if language == "python":
+            return _without_comments(text)
+        bare = _C_STYLE.sub(lambda m: m.group(1) or " ", text)
+        return "\n".join(line for line in bare.split("\n") if line.strip())
+
+    @F.pandas_udf(T.StringType())
+    def stripped(c: pd.Series) -> pd.Series:
+        return c.map(one, na_action=None)
+
+    return stripped(code)
+
+
 def subtrees(code: str | None) -> list[str]:
     """Shapes of all inner nodes of a program, without names and constants."""
 

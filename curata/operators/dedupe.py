@@ -78,7 +78,7 @@ def verdicts(rows: DataFrame, claim_unexportable: bool = False) -> DataFrame:
 def counters(judged: DataFrame) -> DataFrame:
     """Rows of each component by verdict."""
     count = lambda v: F.count_if(F.col("verdict") == v)
-    return judged.groupBy("component").agg(F.count(F.lit(1)).alias("rows_in_source"), count("selected").alias("rows_selected"), count("exact_skipped").alias("rows_skipped_dedupe"), count("unexportable_skipped").alias("rows_skipped_unexportable"))
+    return judged.groupBy("component").agg(F.count(F.lit(1)).alias("rows_in_source"), count("selected").alias("rows_selected"), (count("exact_skipped") + count("near_skipped")).alias("rows_skipped_dedupe"), count("unexportable_skipped").alias("rows_skipped_unexportable"))
 
 
 def dense_index(rows: DataFrame, *order: str, name: str = "row_index") -> DataFrame:

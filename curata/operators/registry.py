@@ -55,3 +55,34 @@ def selected(registry: DataFrame, requested: DataFrame) -> DataFrame:
     wanted = requested.groupBy("trajectories_sha256").agg(F.min("place").alias("place"))
     last = registry.groupBy("trajectories_sha256").agg(F.max("line_no").alias("line_no"))
     return wanted.join(last, "trajectories_sha256").select("place", "line_no", "trajectories_sha256")
+
+
+def requested_lines(registry: DataFrame, digests: DataFrame, miners: DataFrame) -> DataFrame:
+    """place, line_no, trajectories_sha256: first the requested digests (place, trajectories_sha256) as `selected` has them, then all lines of the
+    requested miners (place, miner), in the order of the request and of the registry, each digest once."""
+    by_digest = selected(registry, digests).select(F.lit(0).alias("_part"), "place", "line_no", "trajectories_sha256")
+    asked = miners.groupBy("miner").agg(F.min("place").alias("place"))
+    by_miner = registry.where("trajectories_sha256 is not null").join(asked, "miner").select(F.lit(1).alias("_part"), "place", "line_no", "trajectories_sha256")
+    by_miner = by_miner.join(by_digest.select("trajectories_sha256"), "trajectories_sha256", "left_anti")
+    once = by_miner.groupBy("trajectories_sha256").agg(F.min(F.struct("place", "line_no")).alias("x")).select(F.lit(1).alias("_part"), "x.place", "x.line_no", "trajectories_sha256")
+    return by_digest.unionByName(once).select(F.col("_part").alias("part"), "place", "line_no", "trajectories_sha256")
+
+
+def unknown_requests(registry: DataFrame, requested: DataFrame, key: str) -> list[str]:
+    """Requested digests, or miners, that the registry doesn't have: at most eight, for the message of an error."""
+    lacking = requested.select(key).distinct().join(registry.select(key).distinct(), key, "left_anti")
+    return [r[0] for r in lacking.orderBy(key).limit(8).collect()]
+
+
+def single_additions(added: DataFrame, change: str) -> DataFrame:
+    """change, n, single: added lines of each change, and whether it is exactly one."""
+    return added.groupBy(change).agg(F.count(F.lit(1)).alias("n")).withColumn("single", F.col("n") == 1)
+
+
+def line_of_manifest(manifests: DataFrame) -> DataFrame:
+    """Registry lines of manifests (texts): miner, hf_url, trajectories_sha256, rows_total, dataset_version, gpu_architecture in their normal forms, and
+    issues; rows_total has to be written as a whole number."""
+    whole = F.when(F.trim("rows_total").rlike("^-?[0-9]+$"), F.trim("rows_total").try_cast("bigint"))
+    rows = manifests.select(T.strip(F.col("miner")).alias("miner"), T.url(F.col("hf_url")).alias("hf_url"), "trajectories_sha256", whole.alias("rows_total"), "dataset_version", T.architecture(F.col("gpu_architecture")).alias("gpu_architecture"))
+    bad = [(T.some(F.col("miner")).isNull(), "miner"), (T.repository(F.col("hf_url")).isNull(), "hf_url"), (~F.coalesce(F.length("trajectories_sha256") == 64, F.lit(False)), "trajectories_sha256"), (~F.coalesce(F.col("rows_total") > 0, F.lit(False)), "rows_total"), (F.col("gpu_architecture").isNull(), "gpu_architecture")]
+    return rows.withColumn("issues", F.array_compact(F.array(*(F.when(b, F.lit(name)) for b, name in bad))))
