@@ -4,10 +4,11 @@
    candidate passages are its longest stretches of vocabulary words. The same pass counts in how many fields of the whole corpus each term occurs.
 2. Latent space. Stretches are cut into tiles of `tile` words; tiles and the items' own windows are TF-IDF vectors, and one pass over them gives
    A'A times a random matrix, summed by Spark: a randomised SVD whose driver part has the size of the items' vocabulary.
-3. Search. Every tile is projected and looked up among the projected windows of the items: windows are filed under the signs of latent
-   coordinates, a tile looks into its own cell and the cells across its nearest borders, and the cosine decides. Equal word sets have equal
-   vectors, so with a tile of half the required run or less (rounded down) none is lost.
-4. Verification. The longest run of consecutive words in common.
+3. Search. Every distinct tile is projected and looked up among the projected distinct windows of the items: windows are filed under the signs of
+   latent coordinates, a tile looks into its own cell and the cells across its nearest borders, and the cosine decides. Equal word sets have
+   equal vectors, so with a tile of half the required run or less (rounded down) none is lost.
+4. Verification. The runs of the required length that hold a tile with a candidate are compared with those of the items, word by word. What many items
+   have in common costs no more than what one has: a tile is a candidate once, and items are told apart only where a whole run agrees.
 
 Paraphrases are subsequences over a whole field, which no cosine bounds. They are searched for by the words in common instead: a subsequence is never
 longer than their number, so a field with too few of them is left out without loss, and all others are measured.
@@ -26,27 +27,31 @@ from ..session import materialise
 from . import shingles as S
 from .near import _batches
 
-#: Items that are searched for at once; a larger set is worked off in blocks of so many.
-ITEM_BLOCK = 20_000
-RANK, OVERSAMPLE, SIGN_BITS = 48, 16, 14
+#: Characters of items that are searched for at once: what is broadcast has about 60 bytes for each. A larger set is worked off in parts of this size.
+ITEM_CHARS = 2_000_000
+RANK, OVERSAMPLE, SIGN_BITS = 48, 16, 16
 FOREIGN = -1
 #: Pairs of a text and an item whose common words are counted at once.
 PAIRS_AT_ONCE = 1_000_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def sequences(words: np.ndarray, run: int) -> frozenset[bytes]:
-    return frozenset(words[k : k + run].tobytes() for k in range(len(words) - run + 1))
-
-
 def _spaced(text: str | None) -> str:
     """The words of a text, each between blanks; empty without words."""
     words = [w.lower() for w in S.WORD.findall(text or "")]
     return f" {' '.join(words)} " if words else ""
 
 
+def run_hashes(terms: np.ndarray, run: int) -> np.ndarray:
+    """A 64-bit number of each word sequence of `run` words."""
+    out = np.zeros(max(0, len(terms) - run + 1), np.uint64)
+    for k in range(run if len(out) else 0):
+        out = out * _PRIME + terms[k : k + len(out)].astype(np.uint64)
+    return out
+
+
 class Items:
-    """A block of items on the driver and in each worker: vocabulary, word lists, windows."""
+    """A block of items on the driver and in each worker: vocabulary, word lists, distinct windows, runs."""
 
     def __init__(self, rows: list[tuple[int, str | None, str | None]], run: int, tile: int):
         self.run, self.tile = run, tile
@@ -54,16 +59,33 @@ class Items:
         #: Words of each answer between blanks; empty for answers under three characters.
         self.answers = [_spaced(r[2]) if len((r[2] or "").strip()) >= 3 else "" for r in rows]
         self.vocabulary: dict[str, int] = {}
-        self.words = [np.array([self.vocabulary.setdefault(w.lower(), len(self.vocabulary)) for w in S.WORD.findall(r[1] or "")], np.int64) for r in rows]
-        windows, owner = [], []
-        for k, w in enumerate(self.words):
-            for start in range(max(1, len(w) - tile + 1) if len(w) else 0):
-                windows.append(np.sort(np.pad(w[start : start + tile], (0, max(0, tile - len(w))), constant_values=FOREIGN)))
-                owner.append(k)
-        #: The word sequences of `run` words of each item, for a quick look before the longest run is measured.
-        self.runs = [sequences(w, run) for w in self.words]
-        self.windows = np.array(windows, np.int64).reshape(-1, tile)
-        self.owner = np.array(owner, np.int64)
+        self.words = [np.array([self.vocabulary.setdefault(w.lower(), len(self.vocabulary)) for w in S.WORD.findall(r[1] or "")], np.int32) for r in rows]
+        flat = np.concatenate(self.words) if self.words else np.zeros(0, np.int32)
+        owner = np.repeat(np.arange(len(self.words)), [len(w) for w in self.words])
+        inside = lambda n: np.flatnonzero(owner[: max(0, len(flat) - n + 1)] == owner[n - 1 :])
+        long_enough = np.repeat(np.array([len(w) >= run for w in self.words], bool), [len(w) for w in self.words])
+        at = inside(tile)
+        at = at[long_enough[at]]
+        #: Distinct word sets, as sorted terms, of `tile` words in a row, of the items that hold a run at all.
+        self.windows = np.unique(np.sort(flat[at[:, None] + np.arange(tile)], axis=1), axis=0) if len(at) else np.zeros((0, tile), np.int32)
+        at = inside(run)
+        value = run_hashes(flat, run)[at]
+        order = np.argsort(value, kind="stable")
+        self.flat, self.run_hash, self.run_at, self.run_item = flat, value[order], at[order], owner[at[order]]
+
+    def having(self, term: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(start, item) for the runs of words that begin at the starts and stand, word by word, in an item."""
+        if not len(starts) or not len(self.run_hash):
+            return
+        value = np.zeros(len(starts), np.uint64)
+        for k in range(self.run):
+            value = value * _PRIME + term[starts + k].astype(np.uint64)
+        left, right = np.searchsorted(self.run_hash, value), np.searchsorted(self.run_hash, value, side="right")
+        for p in np.flatnonzero(right > left).tolist():
+            own = term[starts[p] : starts[p] + self.run]
+            for q in range(left[p], right[p]):
+                if np.array_equal(own, self.flat[self.run_at[q] : self.run_at[q] + self.run]):
+                    yield int(starts[p]), int(self.run_item[q])
 
 
 class _Terms(dict):
@@ -128,14 +150,6 @@ def idf(surveyed: DataFrame, size: int) -> np.ndarray:
     return np.log((1 + count[size]) / (1 + count[:size])) + 1
 
 
-def _tiles(terms: np.ndarray, tile: int) -> np.ndarray:
-    """Sorted tiles of a stretch, side by side, and one more at its end."""
-    if len(terms) < tile:
-        return np.sort(np.pad(terms, (0, tile - len(terms)), constant_values=FOREIGN)).reshape(1, -1)
-    whole = terms[: len(terms) // tile * tile].reshape(-1, tile)
-    return np.sort(np.concatenate([whole, terms[-tile:].reshape(1, -1)]), axis=1)
-
-
 def _vectors(tiles: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Unit vectors: sums of the rows of `table` of each tile's terms, always in the order of the terms. FOREIGN reads the zero row at the end."""
     out = np.zeros((len(tiles), table.shape[1]))
@@ -153,28 +167,36 @@ def latent_table(surveyed: DataFrame, items, block: Items, weight: np.ndarray) -
     omega = np.random.default_rng(7).standard_normal((size, width))
     sketch = spark.sparkContext.broadcast(np.vstack([weight[:, None] * omega, np.zeros(width)]))
 
-    def sums(tiles: np.ndarray) -> np.ndarray:
+    def sums(tiles: np.ndarray, times: np.ndarray) -> np.ndarray:
         image = np.zeros((len(tiles), width))
         for k in range(tiles.shape[1]):
             image += sketch.value[tiles[:, k]]
+        image *= times[:, None]
         out = np.zeros((size + 1, width))
         for k in range(tiles.shape[1]):
-            np.add.at(out, tiles[:, k], image)
+            order = np.argsort(tiles[:, k], kind="stable")
+            term = tiles[order, k]
+            first = np.flatnonzero(np.diff(term, prepend=-2))
+            out[term[first]] += np.add.reduceat(image[order], first, axis=0) if len(first) else 0
         return out[:size] * weight[:, None]
 
     def run(iterator):
         out = np.zeros((size, width))
         tile = items.value.tile
-        for table in _batches(iterator, 2000):
-            cut = [_tiles(np.array(t, np.int64), tile) for t in table["terms"].to_pylist()]
-            if cut:
-                out += sums(np.concatenate(cut))
+        for table in _batches(iterator, 4000):
+            column = table["terms"].combine_chunks()
+            term, ends = column.flatten().to_numpy(), column.offsets.to_numpy()[1:] - column.offsets.to_numpy()[0]
+            whole = np.diff(ends, prepend=0) // tile
+            at = np.repeat(ends - np.diff(ends, prepend=0), whole) + (np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)) * tile
+            if len(at):
+                distinct, n = np.unique(np.sort(term[at[:, None] + np.arange(tile)], axis=1), axis=0, return_counts=True)
+                out += sums(distinct, n)
         used = np.flatnonzero(np.abs(out).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), *(pa.array(out[used, k]) for k in range(width))], ["term", *names])
 
     parts = surveyed.where("field >= 0").select("terms").mapInArrow(run, "term long, " + ", ".join(f"{n} double" for n in names))
     total = parts.groupBy("term").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
-    image = sums(block.windows)
+    image = sums(block.windows, np.ones(len(block.windows)))
     image[total["term"].to_numpy(np.int64)] += total[names].to_numpy(np.float64)
     core = omega.T @ image
     value, vector = np.linalg.eigh((core + core.T) / 2)
@@ -184,42 +206,40 @@ def latent_table(surveyed: DataFrame, items, block: Items, weight: np.ndarray) -
 
 
 class Cells:
-    """The items' windows under the signs of their first latent coordinates."""
+    """The items' distinct windows under the signs of their first latent coordinates."""
 
     def __init__(self, block: Items, table: np.ndarray):
-        self.table, self.owner = table, block.owner
-        self.bits = min(SIGN_BITS, table.shape[1])
-        self.vectors = _vectors(block.windows, table).astype(np.float32)
-        codes = self.code(self.vectors)
+        self.table = table
+        #: About one window a cell: the more windows, the more signs.
+        self.bits = min(SIGN_BITS, table.shape[1], max(4, len(block.windows).bit_length()))
+        vectors = _vectors(block.windows, table).astype(np.float32)
+        codes = self.code(vectors)
         order = np.argsort(codes, kind="stable")
-        self.order, codes = order, codes[order]
-        self.codes, self.starts = np.unique(codes, return_index=True)
+        self.vectors = vectors[order]
+        self.codes, self.starts = np.unique(codes[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(codes))
 
     def code(self, vectors: np.ndarray) -> np.ndarray:
         return ((vectors[:, : self.bits] > 0) << np.arange(self.bits)).sum(axis=1)
 
-    def near(self, tiles: np.ndarray, cosine: float, borders: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (tile, item) with a window of that cosine at least, in the tile's cell or across so many of its nearest borders."""
+    def near(self, tiles: np.ndarray, cosine: float, borders: int) -> np.ndarray:
+        """Whether each tile has a window of that cosine at least, in its own cell or across so many of its nearest borders."""
         vectors = _vectors(tiles, self.table).astype(np.float32)
         own = self.code(vectors)
         border = np.argsort(np.abs(vectors[:, : self.bits]), axis=1)[:, : min(borders, self.bits)]
         probes = [own]
         for k in range(border.shape[1]):
             probes += [p ^ (1 << border[:, k]) for p in list(probes)]
-        tile_of, window_of = [], []
+        out = np.zeros(len(tiles), bool)
         for code in probes:
             at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            hit = np.flatnonzero(self.codes[at] == code)
-            n = self.ends[at[hit]] - self.starts[at[hit]]
-            tile_of.append(np.repeat(hit, n))
-            window_of.append(self.order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.starts[at[hit]], n)])
-        t, w = np.concatenate(tile_of), np.concatenate(window_of)
-        ok = np.zeros(len(t), bool)
-        for s in range(0, len(t), 200_000):
-            ok[s : s + 200_000] = np.einsum("ij,ij->i", vectors[t[s : s + 200_000]], self.vectors[w[s : s + 200_000]]) >= cosine
-        pair = np.unique(t[ok] * (self.owner.max() + 1) + self.owner[w[ok]]) if ok.any() else np.zeros(0, np.int64)
-        return pair // (self.owner.max() + 1), pair % (self.owner.max() + 1)
+            open_ = np.flatnonzero((self.codes[at] == code) & ~out)
+            start, n = self.starts[at[open_]], self.ends[at[open_]] - self.starts[at[open_]]
+            for k in range(int(n.max(initial=0))):
+                still = (n > k) & ~out[open_]
+                t, w = open_[still], start[still] + k
+                out[t[np.einsum("ij,ij->i", vectors[t], self.vectors[w]) >= cosine]] = True
+        return out
 
 
 def longest_run(a: np.ndarray, b: np.ndarray) -> int:
@@ -242,43 +262,47 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _search(surveyed: DataFrame, items, cells, cosine: float, borders: int) -> DataFrame:
-    """traj_id, item_id, run for every candidate pair of a stretch and an item with a run of the required length."""
+    """traj_id, item_id of every stretch and item with a run of the required length around a candidate tile."""
 
     def run(iterator):
         block, index = items.value, cells.value
-        for table in _batches(iterator, 1000):
-            terms = [np.array(t, np.int64) for t in table["terms"].to_pylist()]
-            if not terms:
-                continue
-            cut = [_tiles(t, block.tile) for t in terms]
-            owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-            t, k = index.near(np.concatenate(cut), cosine, borders)
-            ids = table["traj_id"].to_pylist()
-            out = []
-            runs: dict[int, frozenset[bytes]] = {}
-            for s, item in sorted(set(zip(owner[t].tolist(), k.tolist()))):
-                if s not in runs:
-                    runs[s] = sequences(terms[s], block.run)
-                if not runs[s].isdisjoint(block.runs[item]):
-                    out.append((ids[s], block.ids[item], longest_run(terms[s], block.words[item])))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["traj_id", "item_id", "run"])
+        n, size = block.run, block.tile
+        for table in _batches(iterator, 4000):
+            column = table["terms"].combine_chunks()
+            term, ends = column.flatten().to_numpy().astype(np.int32), column.offsets.to_numpy()[1:] - column.offsets.to_numpy()[0]
+            lengths = np.diff(ends, prepend=0)
+            starts = ends - lengths
+            whole = lengths // size
+            owner = np.repeat(np.arange(len(lengths)), whole)
+            at = np.repeat(starts, whole) + (np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)) * size
+            at, owner = np.concatenate([at, ends - size]), np.concatenate([owner, np.arange(len(lengths))])  # side by side, and one at the end
+            tiles = np.sort(term[at[:, None] + np.arange(size)], axis=1)
+            distinct, which = np.unique(tiles, axis=0, return_inverse=True)
+            hit = index.near(distinct, cosine, borders)[which.ravel()]
+            first, o = at[hit], owner[hit]
+            begin = (first[:, None] + np.arange(size - n, 1)).ravel()  # the runs that hold the tile
+            o = np.repeat(o, n - size + 1)
+            begin = np.unique(begin[(begin >= starts[o]) & (begin + n <= ends[o])])
+            ids = table["traj_id"].to_numpy()
+            out = sorted({(int(ids[np.searchsorted(ends, p, side="right")]), block.ids[item]) for p, item in block.having(term, begin)})
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(2)], ["traj_id", "item_id"])
 
     spread = surveyed.where("field >= 0").select("traj_id", "terms").repartition(surveyed.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInArrow(run, "traj_id long, item_id long, run long")
+    return spread.mapInArrow(run, "traj_id long, item_id long")
 
 
 def item_blocks(eval_item: DataFrame, run: int, tile: int) -> Iterator[Items]:
-    """All items, block by block; of items under one id the first is taken."""
-    ordered = eval_item.where("item_id is not null").select("item_id", "text", "answer").dropDuplicates(["item_id"])
-    n = ordered.count()
-    blocks = max(1, -(-n // ITEM_BLOCK))
+    """All items, block by block; of items under one id the first is taken. A block has about ITEM_CHARS characters."""
+    ordered = eval_item.where("item_id is not null").groupBy("item_id").agg(F.min(F.struct("text", "answer")).alias("x")).select("item_id", "x.text", "x.answer")
+    chars = ordered.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-chars // ITEM_CHARS))
     for b in range(blocks):
         part = ordered if blocks == 1 else ordered.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        yield Items(sorted((r[0], r[1], r[2]) for r in part.collect()) if n else [], run, tile)
+        yield Items(sorted(((r[0], r[1], r[2]) for r in part.collect()), key=lambda r: r[0]), run, tile)
 
 
 def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int, cosine: float, borders: int) -> DataFrame:
-    """Candidate pairs with their longest run, for all items, block by block."""
+    """traj_id, item_id of the pairs with a run in common, for all items, block by block."""
     spark = trajectory.sparkSession
     out = None
     for block in item_blocks(eval_item, run, tile):
@@ -288,7 +312,7 @@ def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int,
             table = latent_table(surveyed, items, block, idf(surveyed, len(block.vocabulary)))
             found_ = _search(surveyed, items, spark.sparkContext.broadcast(Cells(block, table)), cosine, borders)
         else:
-            found_ = spark.createDataFrame([], "traj_id long, item_id long, run long")
+            found_ = spark.createDataFrame([], "traj_id long, item_id long")
         out = found_ if out is None else out.unionByName(found_)
     return out
 
@@ -296,19 +320,10 @@ def candidates(trajectory: DataFrame, eval_item: DataFrame, run: int, tile: int,
 def found(trajectory: DataFrame, eval_item: DataFrame, run: int = 12) -> DataFrame:
     """traj_id, item_id: prompt or response has at least `run` consecutive words in common with the item's text.
 
-    Null texts count as empty and have no passages; rows with a null id are left out; of items under one id the first is taken; repeated rows
-    give one row; other columns aren't read; without rows or items the result is empty.
+    Null texts count as empty and have no passages; rows with a null id are left out; of items under one id the one whose text comes first counts;
+    repeated rows give one row; other columns aren't read; without rows or items the result is empty.
     """
-    pairs = candidates(trajectory, eval_item, run, run // 2, 0.99, 1)
-    return pairs.where(F.col("run") >= run).select("traj_id", "item_id").distinct()
-
-
-def _run_hashes(terms: np.ndarray, run: int) -> np.ndarray:
-    """A 64-bit number of each word sequence of `run` words."""
-    out = np.zeros(max(0, len(terms) - run + 1), np.uint64)
-    for k in range(run if len(out) else 0):
-        out = out * _PRIME + terms[k : k + len(out)].astype(np.uint64)
-    return out
+    return candidates(trajectory, eval_item, run, run // 2, 0.99, 1).distinct()
 
 
 class Bags:
@@ -337,10 +352,6 @@ class Bags:
         order = np.argsort(token, kind="stable")
         self.item = np.repeat(np.arange(len(filed)), [len(f) for f in filed])[order]
         self.starts = np.searchsorted(token[order], np.arange(total + 1))
-        hashes = [_run_hashes(w, block.run) for w in block.words]
-        value = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        order = np.argsort(value, kind="stable")
-        self.run_hash, self.run_item = value[order], np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])[order]
         self.places: dict[int, dict[int, int]] = {}
 
     def near(self, term: np.ndarray, owner: np.ndarray, texts: int) -> Iterator[tuple[int, int]]:
@@ -361,18 +372,6 @@ class Bags:
             a, b = np.nonzero(common >= self.required)
             yield from zip((a + first).tolist(), b.tolist())
 
-    def runs(self, term: np.ndarray, owner: np.ndarray, block: Items) -> Iterator[tuple[int, int]]:
-        """Pairs (text, item) with a run of the required length in common."""
-        value = _run_hashes(term, block.run)
-        if not len(value) or not len(self.run_hash):
-            return
-        left, right = np.searchsorted(self.run_hash, value), np.searchsorted(self.run_hash, value, side="right")
-        for p in np.flatnonzero(right > left).tolist():
-            if owner[p] == owner[p + block.run - 1]:
-                for item in set(self.run_item[left[p] : right[p]].tolist()):
-                    if term[p : p + block.run].tobytes() in block.runs[item]:
-                        yield int(owner[p]), item
-
     def subsequence(self, terms: list[int], item: int, words: np.ndarray) -> int:
         """common_subsequence, by the bits of one whole number for the item's words."""
         if item not in self.places:
@@ -405,7 +404,8 @@ def _close(trajectory: DataFrame, items, bags, share: float) -> DataFrame:
                 counts[k] = len(found)
                 flat.extend(map(get, found))
             term, owner = np.array(flat, np.int64), np.repeat(np.arange(len(texts)), counts)
-            verbatim = {(t // 2, item) for t, item in index.runs(term, owner, block)}
+            runs = np.flatnonzero(owner[: max(0, len(owner) - block.run + 1)] == owner[block.run - 1 :])
+            verbatim = {(int(owner[p]) // 2, item) for p, item in block.having(term, runs)}
             inside = term >= 0
             term, owner = term[inside], owner[inside]
             at = np.searchsorted(owner, np.arange(len(texts) + 1))
