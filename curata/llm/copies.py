@@ -35,6 +35,23 @@ def multiset_fingerprint(fields: dict[str, Column]) -> list[Column]:
     return lanes
 
 
+#: Hexadecimal digits of a digest in each of its whole numbers, and how many of those are kept: 240 bits.
+_DIGITS, LANES = 15, 4
+
+
+def digest_lanes(values: list[Column]) -> list[Column]:
+    """d1 to d4: 240 bits of a SHA-256 of the SHA-512 of each value, as whole numbers, which aggregate by hash where bytes would be sorted."""
+    whole = F.sha2(F.concat_ws("|", *(F.sha2(v, 512) for v in values)), 256)
+    return [F.conv(F.substring(whole, 1 + _DIGITS * k, _DIGITS), 16, 10).cast("long").alias(f"d{k + 1}") for k in range(LANES)]
+
+
+def _prints(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
+    """id, f1, f2, d1 to d4 of every row with an id."""
+    values = {f: F.col(f"v{k}") for k, f in enumerate(fields)}
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *(bare(F.col(f)).alias(f"v{k}") for k, f in enumerate(fields)))
+    return rows.select("id", *multiset_fingerprint(values), *digest_lanes(list(values.values())))
+
+
 def collapse_copies(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """One row for each record with copies: keep_id (smallest id), copy_id.
 
@@ -43,28 +60,29 @@ def collapse_copies(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     itself; rows with a null id are left out; an empty table gives no rows; other columns of df are not read.
 
     Fingerprints are aggregated before the shuffle, so a group that holds a third of all rows costs one row a task. Equality is then verified
-    by the SHA-512 of each normalised field (the texts are read once, fingerprints and digests are written); a fingerprint shared by different records is split by the field digests themselves.
+    by digests of each normalised field (the texts are read once, fingerprints and digests are written); a fingerprint shared by different records
+    is split by the digests themselves. Nothing is sorted to be grouped.
     """
-    values = {f: F.col(f"v{k}") for k, f in enumerate(fields)}
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *(bare(F.col(f)).alias(f"v{k}") for k, f in enumerate(fields)))
-    digest = F.unhex(F.sha2(F.concat_ws("|", *(F.sha2(v, 512) for v in values.values())), 256))
-    rows = materialise(rows.select("id", *multiset_fingerprint(values), digest.alias("digest")), "prints")
-    groups = rows.groupBy("f1", "f2").agg(F.min("id").alias("keep_id"), F.max("id").alias("last"), F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("keep_id < last")
-    groups = groups.select("f1", "f2", "keep_id", (F.col("d0") == F.col("d1")).alias("equal"))
-    copies = rows.join(groups, ["f1", "f2"])
+    lanes = [f"d{k + 1}" for k in range(LANES)]
+    rows = materialise(_prints(df, id_col, fields), "prints")
+    spread = [f(d).alias(f"{name}_{d}") for d in lanes for f, name in ((F.min, "least"), (F.max, "most"))]
+    groups = rows.groupBy("f1", "f2").agg(F.min("id").alias("keep_id"), F.max("id").alias("last"), *spread).where("keep_id < last")
+    equal = F.lit(True)
+    for d in lanes:
+        equal = equal & (F.col(f"least_{d}") == F.col(f"most_{d}"))
+    groups = groups.select("f1", "f2", "keep_id", equal.alias("equal"))
+    copies = rows.join(groups, ["f1", "f2"]).distinct()  # rows given twice; they lie together already
     plain = copies.where("equal and id <> keep_id").select("keep_id", F.col("id").alias("copy_id"))
     mixed = copies.where("not equal")
-    split = mixed.groupBy("f1", "f2", "digest").agg(F.min("id").alias("keep_id"))
-    split = mixed.drop("keep_id").join(split, ["f1", "f2", "digest"]).where("id <> keep_id").select("keep_id", F.col("id").alias("copy_id"))
-    return plain.unionByName(split).distinct()
+    split = mixed.groupBy("f1", "f2", *lanes).agg(F.min("id").alias("keep_id"))
+    split = mixed.drop("keep_id").join(split, ["f1", "f2", *lanes]).where("id <> keep_id").select("keep_id", F.col("id").alias("copy_id"))
+    return plain.unionByName(split)
 
 
 def copy_counts(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """One row for each distinct record: keep_id and n_copies, the number of records it stands for (itself included)."""
-    values = {f: F.col(f"v{k}") for k, f in enumerate(fields)}
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), *(bare(F.col(f)).alias(f"v{k}") for k, f in enumerate(fields)))
-    digest = F.unhex(F.sha2(F.concat_ws("|", *(F.sha2(v, 512) for v in values.values())), 256))
-    return rows.groupBy(*multiset_fingerprint(values), digest.alias("digest")).agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n_copies")).select("keep_id", "n_copies")
+    keys = ["f1", "f2", *(f"d{k + 1}" for k in range(LANES))]
+    return _prints(df, id_col, fields).groupBy(*keys).agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n_copies")).select("keep_id", "n_copies")
 
 
 @F.pandas_udf(T.StructType([T.StructField("is_object", T.BooleanType()), T.StructField("prompt", T.StringType()), T.StructField("response", T.StringType())]))
