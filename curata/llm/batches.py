@@ -23,12 +23,19 @@ from . import shingles as S
 from .copies import bare, multiset_fingerprint
 from .near import _batches, _texts, bits_apart, only_ids, similarity
 
-#: With similarity 0.7 a block of four agrees with probability (0.7 + 0.3 / 16) ** 4 = 0.267, so all 32 fail with 0.00005; at 0.75 with 0.000003.
-BLOCKS, PER_BLOCK, BITS_EACH = 32, 4, 4
+#: With similarity 0.7 a block of four agrees with probability (0.7 + 0.3 / 64) ** 4 = 0.247, so all 36 fail with 0.00004; at 0.75 with 0.000002. Two
+#: unrelated records share one of 36 blocks of 24 bits with a chance of one in 470,000.
+BLOCKS, PER_BLOCK, BITS_EACH = 36, 4, 6
 #: Of the 256 bits, two of each minwise hash, so many may differ. At similarity 0.7 the mean is 38.4 with deviation 6.8: one pair in ten million is lost.
 BITS = ("bits1", "bits2", "bits3", "bits4")
 MAX_BITS = 74
 HISTORY, INCOMING = 0, 1
+#: The tables of an index; a table without rows has no file to read its columns from.
+TABLES = {
+    "texts": "id long, prompt string, response string, part int",
+    "copies": "id long, f1 long, f2 long, digest binary, part int",
+    "prints": "h1 long, h2 long, id long, n long, " + "".join(f"{b} long, " for b in BITS) + "blocks array<int>, part int",
+}
 
 
 def ordered_history(trajectory: DataFrame) -> DataFrame:
@@ -57,7 +64,7 @@ def fingerprints(records: DataFrame, width: int = 3) -> DataFrame:
             block = block[keep]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, block.size + 1, BLOCKS, dtype=np.int32)), pa.array(block.ravel()))
             parts, ids = (table[c].to_numpy()[keep] for c in ("part", "id"))
-            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(ids), *(pa.array(x[keep]) for x in (h[:, 0], h[:, 1], sizes)), lists, *(pa.array(x) for x in S.low_bits(minima)[keep].T.copy())], ["part", "id", "h1", "h2", "n", "blocks", *BITS])
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(ids), *(pa.array(x[keep]) for x in (h[:, 0], h[:, 1], sizes)), lists, *(pa.array(x) for x in S.low_bits(minima[:, :128])[keep].T.copy())], ["part", "id", "h1", "h2", "n", "blocks", *BITS])
 
     return records.mapInArrow(run, "part int, id long, h1 long, h2 long, n long, blocks array<int>, " + ", ".join(f"{b} long" for b in BITS))
 
@@ -68,7 +75,8 @@ def first_of_each(prints: DataFrame) -> DataFrame:
 
 
 def block_rows(prints: DataFrame, *more: str) -> DataFrame:
-    return prints.select(F.explode("blocks").alias("block"), *more, "part", "id", "n", *BITS)
+    """A row for each block, which is its key: the number of the block and its bits. The other bits stay behind: few records meet."""
+    return prints.select(F.explode("blocks").alias("block"), *more, "part", "id", F.col("n").cast("int").alias("n"))
 
 
 def shingle_rows(records: DataFrame, width: int) -> DataFrame:
@@ -94,10 +102,12 @@ def copy_prints(records: DataFrame) -> DataFrame:
 def lookup(index: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
     """id, i_fresh, i_part, i_id: probes and indexed records that share a block, fit in size and pass the Hamming test. A stored record is earlier
     than all probes, a fresh one by its part and id."""
-    a, b = block_rows(probes), block_rows(index, "fresh").select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n", *BITS)))
+    a, b = block_rows(probes), block_rows(index, "fresh").select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n")))
     earlier = ~F.col("i_fresh") | (F.col("i_part") < F.col("part")) | ((F.col("i_part") == F.col("part")) & (F.col("i_id") < F.col("id")))
-    near = (F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")) & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
-    return a.join(b, (a["block"] == b["block"]) & earlier & near).select("id", "i_fresh", "i_part", "i_id").distinct()
+    fits = F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")
+    met = materialise(a.join(b, (a["block"] == b["block"]) & earlier & fits).select("id", "i_fresh", "i_part", "i_id").distinct(), "met")
+    both = met.join(probes.groupBy("id").agg(*(F.first(x).alias(x) for x in BITS)), "id").join(index.select(*(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id")), *(F.col(x).alias(f"i_{x}") for x in BITS)), ["i_fresh", "i_part", "i_id"])
+    return both.where(bits_apart("bits", "i_bits", 4) <= MAX_BITS).select("id", "i_fresh", "i_part", "i_id").distinct()
 
 
 def sent_again(incoming: DataFrame, registry: DataFrame) -> DataFrame:
@@ -133,15 +143,20 @@ class HistoryIndex:
         return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
     def _stored(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{table}")
+        return self.spark.read.schema(TABLES[table]).parquet(f"{self.path}/{table}")
 
     def append(self, records: DataFrame) -> None:
-        """Adds part, id, prompt, response records: copy fingerprints and shingles of all, and the fingerprint of each new word sequence."""
+        """Adds part, id, prompt, response records: texts and copy fingerprints of all, and the fingerprint of each new word sequence.
+
+        Each table has a folder for each part, which a batch fills as a whole: a batch that is appended again, after a failure or by mistake, replaces
+        its own rows and no others.
+        """
         firsts = first_of_each(fingerprints(records, self.width))
         if self._has("prints"):
             firsts = firsts.join(self._stored("prints").select("h1", "h2"), ["h1", "h2"], "left_anti")
-        for table, rows in (("sets", shingle_rows(records, self.width)), ("copies", copy_prints(records)), ("prints", firsts)):
-            rows.write.mode("append").parquet(f"{self.path}/{table}")
+        for table, rows in (("texts", records), ("copies", copy_prints(records)), ("prints", firsts)):
+            kept = materialise(rows, "append") if table == "prints" and self._has("prints") else rows
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("part").parquet(f"{self.path}/{table}")
 
     def check(self, batch: DataFrame) -> DataFrame:
         """id, kind of the records (part, id, prompt, response) that repeat an indexed one. Repeats inside the batch and digests of history are
@@ -177,6 +192,6 @@ class HistoryIndex:
         old_ids = materialise(pairs.where("not i_fresh").select(F.col("i_id").alias("id")).distinct(), "ids")
         mine = materialise(shingle_rows(only_ids(new, new_ids), self.width), "sets")
         sets = lambda rows, fresh: rows.select(F.lit(fresh).alias("i_fresh"), F.col("part").alias("i_part"), F.col("id").alias("i_id"), F.col("s").alias("sb"))
-        indexed = sets(only_ids(self._stored("sets"), old_ids), False).unionByName(sets(mine, True))
+        indexed = sets(shingle_rows(only_ids(self._stored("texts"), old_ids).select("part", "id", "prompt", "response"), self.width), False).unionByName(sets(mine, True))
         out = pairs.join(mine.select("id", F.col("s").alias("sa")), "id").join(indexed, ["i_fresh", "i_part", "i_id"])
         return out.where(similarity() >= self.threshold).select("id").distinct()

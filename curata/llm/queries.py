@@ -34,6 +34,10 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.NearDuplicates(_t(spark, sf_dir, "trajectory"), "traj_id", 0.8, 5).groups().withColumnRenamed("id", "traj_id")
 
 
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.NearDuplicates(_t(spark, sf_dir, "trajectory"), "traj_id").groups().withColumnRenamed("id", "traj_id")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.found(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "trajectory_raw"))
 
@@ -79,7 +83,7 @@ def p8_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_groups, p4_found, p4_counts, p4_table_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_classes, p3_groups, p4_found, p4_counts, p4_table_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
 
 
 _BARE = "regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
@@ -108,6 +112,14 @@ def oracle_sql() -> dict[str, str]:
             FROM shingles_trajectory a JOIN shingles_trajectory b ON a.s = b.s AND a.id < b.id
             JOIN sizes_trajectory x ON x.id = a.id JOIN sizes_trajectory y ON y.id = b.id
             GROUP BY a.id, b.id, x.n, y.n HAVING count(*) >= 0.7 * (x.n + y.n - count(*))""",
+        "p3_classes": "WITH" + _SHINGLES.format("trajectory", "traj_id") + """,
+            t AS (SELECT traj_id AS id, array_to_string(regexp_extract_all(lower(coalesce(prompt, '') || ' ' || coalesce(response, '')), '[\\p{L}\\p{N}]+'), ' ') AS w FROM trajectory WHERE traj_id IS NOT NULL),
+            c AS (SELECT id, min(id) OVER (PARTITION BY w) AS class_id, count(*) OVER (PARTITION BY w) AS n_copies FROM t),
+            r AS (SELECT s.id, s.s FROM shingles_trajectory s JOIN c ON c.id = s.id AND c.class_id = c.id),
+            p AS (SELECT a.id AS a, b.id AS b FROM r a JOIN r b ON a.s = b.s AND a.id <> b.id JOIN sizes_trajectory x ON x.id = a.id JOIN sizes_trajectory y ON y.id = b.id
+                GROUP BY a.id, b.id, x.n, y.n HAVING count(*) >= 0.7 * (x.n + y.n - count(*))),
+            l AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+            SELECT c.id AS traj_id, class_id, n_copies, coalesce(n_links, 0) AS n_links FROM c LEFT JOIN l ON l.a = c.class_id""",
         "p4_found": f"SELECT 'trajectory' AS src_table, keep_id, id AS copy_id FROM ({copied.format(norm)}) WHERE id <> keep_id UNION ALL SELECT 'trajectory_raw', keep_id, id FROM ({copied.format(rnorm)}) WHERE id <> keep_id",
         "p4_counts": f"SELECT min(id) AS keep_id, count(*) AS n_copies FROM ({norm}) GROUP BY p, r",
         "p4_table_counts": f"SELECT 'trajectory' AS src_table, min(id) AS keep_id, count(*) AS n_copies FROM ({norm}) GROUP BY p, r UNION ALL SELECT 'trajectory_raw', min(id), count(*) FROM ({rnorm}) GROUP BY p, r",

@@ -71,6 +71,9 @@ def test_stored_index_finds_repeats_inside_a_batch(spark, tmp_path):
         batch = n.where(F.col("batch_no") == part)
         step |= {r["id"]: r["kind"] for r in index.repeats(batch, known).collect()}
         index.append(batches.ordered_incoming(batch))
+        if part == 1:  # a second delivery changes nothing
+            index.append(batches.ordered_incoming(batch))
+            assert index._stored("texts").where("part = 1").count() == batch.count()
     assert at_once == step == truth
     assert sum(2000 <= i < 3000 for i in step) == 24 and step[3001] == "near"
 
