@@ -74,9 +74,52 @@ def first_of_each(prints: DataFrame) -> DataFrame:
     return prints.groupBy("h1", "h2").agg(F.min(F.struct("part", "id", "n", *BITS, "blocks")).alias("x")).select("h1", "h2", "x.*")
 
 
-def block_rows(prints: DataFrame, *more: str) -> DataFrame:
-    """A row for each block, which is its key: the number of the block and its bits. The other bits stay behind: few records meet."""
-    return prints.select(F.explode("blocks").alias("block"), *more, "part", "id", F.col("n").cast("int").alias("n"))
+def block_rows(prints: DataFrame, filter_: tuple[int, np.ndarray] | None = None) -> DataFrame:
+    """block, part, id, n: a row for each block, which is its key: the number of the block and its bits. The other bits stay behind: few records meet.
+    With a filter, only of blocks that it may hold."""
+    rows = prints.select("part", "id", F.col("n").cast("int").alias("n"), "blocks")
+    if filter_ is None:
+        return rows.select(F.explode("blocks").alias("block"), "part", "id", "n")
+    width, marked = filter_[0], prints.sparkSession.sparkContext.broadcast(filter_[1])
+
+    def run(iterator):
+        for batch in iterator:
+            lists = batch.column(3)
+            block, counts = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            at = _place(block, width)
+            keep = (marked.value[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & np.uint8(1) > 0
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), counts)[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(block[keep]), *(batch.column(k).take(owner) for k in range(3))], ["block", "part", "id", "n"])
+
+    return rows.mapInArrow(run, "block int, part int, id long, n int")
+
+
+#: Bits of a batch's filter for each of its blocks, about, and the logarithm of the most that it has: 16 MB.
+FILTER_BITS, FILTER_WIDTH = 16, 27
+_PART_BYTES = 4096
+
+
+def _place(block: np.ndarray, width: int) -> np.ndarray:
+    return (block.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(32 - width)
+
+
+def block_filter(probes: DataFrame) -> tuple[int, np.ndarray]:
+    """A bitmap of the blocks of a batch, so that of the index only what a batch may meet is shuffled. It has a bounded size: a batch too large for it
+    fills it up and lets more through, but loses nothing."""
+    width = int(np.clip(np.ceil(np.log2(max(1, FILTER_BITS * BLOCKS * probes.count()))), 15, FILTER_WIDTH))
+
+    def run(iterator):
+        marked = np.zeros(1 << width, bool)
+        for batch in iterator:
+            marked[_place(batch.column(0).flatten().to_numpy(), width)] = True
+        bits = np.packbits(marked, bitorder="little").reshape(-1, _PART_BYTES)
+        used = np.flatnonzero(bits.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([bits[k].tobytes() for k in used], pa.binary())], ["at", "bits"])
+
+    out = np.zeros((1 << width) // 8, np.uint8).reshape(-1, _PART_BYTES)
+    for at, bits in probes.select("blocks").mapInArrow(run, "at int, bits binary").groupBy("at").agg(F.bitmap_or_agg("bits").alias("bits")).collect():
+        out[at] = np.frombuffer(bits, np.uint8)
+    return width, out.ravel()
 
 
 def shingle_rows(records: DataFrame, width: int) -> DataFrame:
@@ -102,7 +145,9 @@ def copy_prints(records: DataFrame) -> DataFrame:
 def lookup(index: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
     """id, i_fresh, i_part, i_id: probes and indexed records that share a block, fit in size and pass the Hamming test. A stored record is earlier
     than all probes, a fresh one by its part and id."""
-    a, b = block_rows(probes), block_rows(index, "fresh").select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n")))
+    stored = block_rows(index.where("not fresh"), block_filter(probes)).withColumn("fresh", F.lit(False))
+    fresh = block_rows(index.where("fresh")).withColumn("fresh", F.lit(True))
+    a, b = block_rows(probes), stored.unionByName(fresh).select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n")))
     earlier = ~F.col("i_fresh") | (F.col("i_part") < F.col("part")) | ((F.col("i_part") == F.col("part")) & (F.col("i_id") < F.col("id")))
     fits = F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")
     met = materialise(a.join(b, (a["block"] == b["block"]) & earlier & fits).select("id", "i_fresh", "i_part", "i_id").distinct(), "met")
