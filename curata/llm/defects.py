@@ -68,6 +68,11 @@ REFUSALS = re.compile(
     | \b(?:no\ puedo|no\ podré|no\ voy\ a|no\ me\ es\ posible|no\ estoy\ en\ condiciones\ de|me\ resulta\ imposible)\ (?:ayudar|responder|escribir|proporcionar|dar|continuar|atender|ofrecer|facilitar|realizar|hacer)\w*
     | \bprefiero\ no\b | \b(?:debo|tengo\ que)\ (?:rechazar|declinar|negarme)\b | \bme\ niego\ a\b
     | \bnon\ posso\ (?:aiut|rispond|forni|scriv|continu)\w* | \bpreferisco\ non\b | \bdevo\ (?:rifiutare|declinare)\b
+    | \b(?:goes|is|would\ be)\ against\ my\ (?:guidelines|policy|policies|principles|rules|programming)\b
+    | \bdo(?:n['’]?t|\ not)\ have\ the\ (?:ability|permission|authority)\ to\b
+    | \bне\ (?:могу|смогу|буду|имею\ права)\ (?:вам\ )?(?:с\ этим\ )?(?:помочь|ответить|выполнить|предоставить|написать|отвечать|помогать)
+    | (?:お手伝い|お答え|お応え|対応|回答|提供|お役に立つこと)(?:は|が)?(?:でき|いたしかね|致しかね)(?:ません|ます)
+    | (?:我|我们)?(?:无法|不能|不可以)(?:帮助|回答|提供|协助|满足|完成)
     | \bnão\ (?:posso|vou|consigo)\ (?:ajud|respond|fornec|escrev|continu)\w* | \bprefiro\ não\b | \b(?:devo|tenho\ de|tenho\ que)\ (?:recusar|declinar)\b
     """,
     re.IGNORECASE | re.VERBOSE,
@@ -76,7 +81,7 @@ REFUSALS = re.compile(
 _TRIGGERS = ahocorasick.Automaton()
 for _trigger in (
     "can't |can’t |cant |cannot |can not |could not |couldn't |couldn’t |couldnt |won't |won’t |wont |will not |unable to |not able to |not going to |not allowed |not permitted |decline|refuse|pass on this|rather not |unanswered"
-    "|not something i |what i |not comfortable | ich |ich |muss|mir nicht|je dois |je refuse|je préfère|impossible|je ne |no puedo |no podré |no voy |no me es |no estoy |me resulta |prefiero |debo |tengo que |me niego |non posso |preferisco |devo |não |prefiro |tenho "
+    "|not something i |what i |not comfortable | ich |ich |muss|mir nicht|je dois |je refuse|je préfère|impossible|je ne |no puedo |no podré |no voy |no me es |no estoy |me resulta |prefiero |debo |tengo que |me niego |non posso |preferisco |devo |não |prefiro |tenho |against my |have the |не |でき|かね|无法|不能|不可以"
 ).split("|"):
     _TRIGGERS.add_word(_trigger, True)
 _TRIGGERS.make_automaton()
@@ -206,6 +211,25 @@ def other_language(text: str, prompts: list[Prompt]) -> bool:
     return seen
 
 
+_OPEN, _PAIRS = "([{（「『", {")": "(", "]": "[", "}": "{", "）": "（", "」": "「", "』": "『"}
+#: Enumerations such as "a)" and smileys close nothing; words in code spans and blocks count as no delimiters.
+_LONE = re.compile(r"(?:^|[\s(])[\w]{1,3}\)|[:;]-?[()]")
+
+
+def unclosed(text: str) -> bool:
+    """A thought, bracket or quotation that is opened and never closed. Closers without an opener don't count."""
+    if text.lower().count("<think>") > text.lower().count("</think>"):
+        return True
+    body = _LONE.sub(" ", prose(text))
+    waiting: list[str] = []
+    for c in body:
+        if c in _OPEN:
+            waiting.append(c)
+        elif c in _PAIRS and waiting and waiting[-1] == _PAIRS[c]:
+            waiting.pop()
+    return bool(waiting) or body.count("“") > body.count("”") + body.count("‟") and body.count("„") == 0 or body.count("«") > body.count("»")
+
+
 def is_truncated(text: str, prompts: list[Prompt]) -> bool:
     """Ends inside code (an open fence or code span) or inside a sentence."""
     if len(_FENCE.findall(text)) % 2:
@@ -240,24 +264,30 @@ def prompts_of(*texts: str | None) -> list[Prompt]:
     return [Prompt(p) for p in map(visible, texts) if p]
 
 
-def defects_of(field: str, text: str | None, prompts: list[Prompt]) -> list[str]:
-    """Every defect of a field, in the order of the rules. A rule that explains the whole text (empty, copy, refusal) ends the list."""
+def defects_of(field: str, text: str | None, prompts: list[Prompt], every: bool = False) -> list[str]:
+    """Every defect of a field, in the order of the rules. A rule that explains the whole text (empty, copy, refusal) ends the list, so that a field has
+    one row for what is wrong with it; with `every` all rules are tried and each that is triggered comes out."""
     body = visible(text)
     if not body:
         return ["empty"] if field == "response" else []
     if is_empty(body):
         return ["empty"]
     text_words = words_of(body)
-    if is_copy(text_words, prompts):
-        return ["copy"]
-    if is_refusal(body, len(text_words)):
-        return ["refusal"]
-    rules = {"language": bool(prompts) and other_language(body, prompts), "truncated": is_truncated(body, prompts)}
-    return [name for name, broken in rules.items() if broken]
-
-
-def found(trajectory: DataFrame) -> DataFrame:
-    """traj_id, field, defect: one row for each defect of a response or reasoning.
+    out = []
+    for name, rule in (("copy", lambda: is_copy(text_words, prompts)), ("refusal", lambda: is_refusal(body, len(text_words)))):
+        if rule():
+            out.append(name)
+            if not every:
+                return out
+    if bool(prompts) and other_language(body, prompts):
+        out.append("language")
+    if unclosed(body) or is_truncated(body, prompts):
+        out.append("truncated")
+    return out
+
+
+def found(trajectory: DataFrame, every: bool = False) -> DataFrame:
+    """traj_id, field, defect: one row for each defect of a response or reasoning; with `every`, of all that its rules trigger.
 
     A null or blank response is 'empty', a null or blank reasoning no defect; a missing prompt leaves out the rules that need one; a repair
     row's task (metadata.prompt_meta.prompt) counts as a prompt beside its wrapper. Rows with a null id are left out; a row given twice yields
@@ -271,7 +301,7 @@ def found(trajectory: DataFrame) -> DataFrame:
             for key, prompt, response, reasoning, task in zip(*columns):
                 prompts = prompts_of(prompt, task)
                 for field, text in (("response", response), ("reasoning", reasoning)):
-                    out.extend((key, field, d) for d in defects_of(field, text, prompts))
+                    out.extend((key, field, d) for d in defects_of(field, text, prompts, every))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.string()) for k in (1, 2))], ["traj_id", "field", "defect"])
 
     rows = trajectory.where("traj_id is not null").select("traj_id", "prompt", "response", "reasoning", F.col("metadata.prompt_meta.prompt").alias("task"))

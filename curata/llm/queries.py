@@ -18,6 +18,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defects.found(_t(spark, sf_dir, "trajectory"))
 
 
+def p1_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return defects.found(_t(spark, sf_dir, "trajectory"), every=True)
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.found(_t(spark, sf_dir, "trajectory"), _t(spark, sf_dir, "eval_item"))
 
@@ -83,7 +87,7 @@ def p8_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_paraphrases, p3_found, p3_classes, p3_groups, p4_found, p4_counts, p4_table_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
+    return {f.__name__: f for f in (p1_found, p1_triggered, p2_found, p2_paraphrases, p3_found, p3_classes, p3_groups, p4_found, p4_counts, p4_table_counts, p5_found, p6_ids, p6_round_trip, p7_mix, p7_soft_mix, p7_shares, p8_found, p8_masked)}
 
 
 _BARE = "regexp_replace(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"

@@ -67,6 +67,24 @@ def test_two_defects():
     assert check("Die Maske wird nach dem Laden angewandt, und die Kachel ist nicht mehr gepuffert, wenn wir sie mit der") == ["language", "truncated"]
 
 
+def test_unclosed():
+    for text in ("subtract the max (which keeps exponents bounded. Then divide by the sum.", "{'a': 1, 'b': [2, 3. That is all.", "<think>we look at the mask. It is stale.", "He says “the tile is stale. It is read twice."):
+        assert check(text) == ["truncated"]
+    for text in ("It holds: a) the tile, b) the mask. See (above) :) in the note.", "Call `f(` first, then the rest of the tile.", "A bracket] without an opener is a typing slip here."):
+        assert check(text) == []
+
+
+def test_refusals_of_other_forms():
+    for text in ("Sorry, that request goes against my guidelines.", "I don't have the ability to do that.", "Извините, но я не могу помочь с этим запросом.", "申し訳ありませんが、お手伝いできません。", "抱歉，我无法回答这个问题。"):
+        assert check(text) == ["refusal"]
+
+
+def test_every_triggered_defect():
+    russian = defects.defects_of("response", "Извините, но я не могу помочь с этим (запросом.", defects.prompts_of(PROMPT), every=True)
+    assert russian == ["refusal", "language", "truncated"]
+    assert defects.defects_of("response", PROMPT[:-1], defects.prompts_of(PROMPT), every=True) == ["copy", "truncated"]
+
+
 def test_defect_table(spark):
     schema = "traj_id long, prompt string, response string, reasoning string, metadata struct<prompt_meta:struct<prompt:string>>, field string, defect string"
     rows = [(1, PROMPT, None, None, None, "x", "y"), (1, PROMPT, None, None, None, "x", "y"), (None, None, None, None, None, None, None), (2, PROMPT, ANSWER, PROMPT, None, None, None), (3, PROMPT, ANSWER + " word" * 300_000, None, None, None, None)]
