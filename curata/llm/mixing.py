@@ -9,6 +9,7 @@ narrow table that returns one number a domain. Rates are then rounded to whole c
 from __future__ import annotations
 
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -21,11 +22,13 @@ from .encode import token_count
 from .near import _batches
 from .shingles import WORD
 
-#: Hashed word features of the classifier.
-FEATURES = 1 << 14
-#: Log-likelihoods are means over a document's words times this, which keeps posteriors of long documents from being all or nothing.
-SHARPNESS = 20.0
-STEPS, TOLERANCE = 25, 1e-6
+#: The classifier has a feature for each bucket of hashed words, and some for the form of a text.
+BUCKETS = 128
+#: It is fitted on at most so many labelled documents, drawn by a hash of their ids; with this many the model doesn't change with more.
+FIT_ROWS = 20_000
+#: Weight decay and passes of the fit.
+DECAY, FIT_STEPS = 1e-3, 200
+STEPS, TOLERANCE = 40, 1e-6
 #: Documents of a source that are rounded together, about.
 BUCKET_ROWS = 10_000
 #: mix_target is a small table of the operator; more sources than this aren't taken for one.
@@ -42,42 +45,70 @@ def domains_of(mix_target: DataFrame) -> pd.DataFrame:
     return out
 
 
+class Model(NamedTuple):
+    """Softmax regression: means and deviations of the features, weights, and which domains have documents."""
+
+    mean: np.ndarray
+    deviation: np.ndarray
+    weights: np.ndarray
+    known: np.ndarray
+
+
 def features(text: str | None) -> np.ndarray:
-    """Counts of hashed words of a text."""
-    return np.bincount([zlib.crc32(w.lower().encode()) % FEATURES for w in WORD.findall(text or "")], minlength=FEATURES)
+    """Roots of the shares of hashed words, and the form of a text: lengths, lines, marks, digits, distinct words."""
+    text = text or ""
+    words = [w.lower() for w in WORD.findall(text)]
+    n, size = max(1, len(words)), max(1, len(text))
+    shares = np.bincount([zlib.crc32(w.encode()) % BUCKETS for w in words], minlength=BUCKETS) / n
+    lines = text.split("\n")
+    form = [
+        np.log1p(len(text)), np.log1p(len(words)), np.log1p(len(lines)), size / n, len(set(words)) / n, sum(map(str.isdigit, text)) / size, sum(map(str.isupper, text)) / size,
+        "```" in text, text.startswith("#"), text.startswith("["), text.startswith(("From", "Subject")), 10 * text.count("?") / n, 10 * text.count("`") / size, 10 * text.count(":") / size, 10 * text.count("|") / size,
+        sum(x.startswith(("- ", "* ")) for x in lines) / len(lines), sum(x.startswith("[") for x in lines) / len(lines), not text.isascii(), text.count(". ") / n,
+    ]
+    return np.concatenate([np.sqrt(shares), np.array(form, float)])
+
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
 
-def fit_classifier(labelled: DataFrame, n_domains: int) -> np.ndarray:
-    """Log-probabilities of the features in each domain, from all labelled documents (domain, text); smoothed by one. Features of numbers and rare
-    words carry as much as they occur."""
+
+def fit_classifier(labelled: DataFrame, n_domains: int) -> Model:
+    """Softmax regression by gradient steps with momentum, on at most FIT_ROWS labelled documents (doc_id, domain, text)."""
 
     def run(iterator):
-        total = np.zeros((n_domains, FEATURES), np.int64)
         for table in _batches(iterator, 2000):
-            for d, text in zip(table["domain"].to_pylist(), table["text"].to_pylist()):
-                total[d] += features(text)
-        d, f = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(d, pa.int32()), pa.array(f, pa.int32()), pa.array(total[d, f])], ["domain", "feature", "n"])
-
-    sums = labelled.select("domain", "text").mapInArrow(run, "domain int, feature int, n long").groupBy("domain", "feature").agg(F.sum("n").alias("n")).toPandas()
-    count = np.ones((n_domains, FEATURES))
-    count[sums["domain"], sums["feature"]] += sums["n"]
-    model = np.log(count / count.sum(axis=1, keepdims=True))
-    model[count.sum(axis=1) == FEATURES] = -np.inf  # no document is put into a domain of which none is known
-    return model
-
-
-def posterior(text: str | None, model: np.ndarray) -> np.ndarray:
-    """Membership in each domain; that of a text without words is even. All zero if no domain is known."""
-    count = features(text)
-    known = np.isfinite(model[:, 0])
-    if not known.any():
-        return np.zeros(len(model))
-    n = count.sum()
-    score = np.full(len(model), -np.inf)
-    score[known] = model[np.ix_(known, np.flatnonzero(count))] @ count[count > 0] / n * SHARPNESS if n else 0
-    p = np.exp(score - score.max())
-    return p / p.sum()
+            rows = [features(t) for t in table["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([table["domain"].combine_chunks(), pa.array(rows, pa.list_(pa.float64()))], ["domain", "x"])
+
+    drawn = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("domain", "text").mapInArrow(run, "domain int, x array<double>").toPandas()
+    y = drawn["domain"].to_numpy(np.int64)
+    known = np.bincount(y, minlength=n_domains) > 0
+    width = len(features("")) + 1
+    if not len(y):
+        return Model(np.zeros(width - 1), np.ones(width - 1), np.zeros((width, n_domains)), known)
+    x = np.array(drawn["x"].tolist())
+    mean, deviation = x.mean(axis=0), x.std(axis=0) + 1e-6
+    x = np.hstack([(x - mean) / deviation, np.ones((len(x), 1))])
+    weights, speed = np.zeros((x.shape[1], n_domains)), 0.0
+    for _ in range(FIT_STEPS):
+        slope = DECAY * weights
+        for s in range(0, len(x), 5000):
+            p = _softmax(np.where(known, x[s : s + 5000] @ weights, -np.inf))
+            p[np.arange(len(p)), y[s : s + 5000]] -= 1
+            slope = slope + x[s : s + 5000].T @ p / len(x)
+        speed = 0.9 * speed - 0.05 * slope
+        weights = weights + speed
+    return Model(mean, deviation, weights, known)
+
+
+def posterior(text: str | None, model: Model) -> np.ndarray:
+    """Membership in each domain, 0 in one of which no document is known. All zero if none is."""
+    if not model.known.any():
+        return np.zeros(len(model.known))
+    x = np.append((features(text) - model.mean) / model.deviation, 1.0)
+    return _softmax(np.where(model.known, x @ model.weights, -np.inf)[None, :])[0]
 
 
 def memberships(documents: DataFrame, domains: pd.DataFrame, soft: bool) -> DataFrame:
@@ -148,21 +179,34 @@ def fit_rates(members: DataFrame, domains: pd.DataFrame, total_tokens: float | N
     total = total_tokens if total_tokens is not None else float((most[there] / share[there]).min()) if there.any() else 0.0
     target = share * total
     scale = np.where(most > 0, most / np.maximum(repeats, 1), 1.0)
+    reach = np.minimum(target, most)
     steps: list[np.ndarray] = []
-    have = np.zeros(len(domains))
-    best = np.inf
+    have, best, rate = np.zeros(len(domains)), np.inf, 1.0
     for _ in range(STEPS):
-        reach = np.minimum(target, most)
         error = np.where(there, have - reach, have)
         worst = float(np.abs(error / np.maximum(reach, 1)).max(initial=0))
+        if worst >= best:  # the step made it worse: it is taken back, and a shorter one tried
+            rate /= 2
+            steps[-1], error, worst = rate * last, before, best
+            if rate < 1 / 64:
+                steps.pop()
+                break
+            have = _totals(members, repeats, steps)
+            continue
         if worst < TOLERANCE or worst > best * (1 - 1e-4):
             break
-        best = worst
-        steps.append(error / scale)
+        best, before, last, rate = worst, error, error / scale, 1.0
+        steps.append(last)
         have = _totals(members, repeats, steps)
     return steps, total
 
 
+def residual(members: DataFrame, domains: pd.DataFrame, steps: list[np.ndarray], total: float) -> pd.DataFrame:
+    """source, wanted, expected tokens of each domain under the fitted rates: how far the fit is from the targets."""
+    have = _totals(members, domains["repeats"].to_numpy(float), steps)
+    return pd.DataFrame({"source": domains["source"], "wanted": domains["share"] * total, "expected": have})
+
+
 def _diffused(rows: pd.DataFrame) -> pd.DataFrame:
     """Whole copies whose tokens stay within half a document of the sum of rate times tokens all along the bucket."""
     rows = rows.sort_values(["key", "doc_id"])
