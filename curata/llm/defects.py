@@ -68,11 +68,6 @@ REFUSALS = re.compile(
     | \b(?:no\ puedo|no\ podré|no\ voy\ a|no\ me\ es\ posible|no\ estoy\ en\ condiciones\ de|me\ resulta\ imposible)\ (?:ayudar|responder|escribir|proporcionar|dar|continuar|atender|ofrecer|facilitar|realizar|hacer)\w*
     | \bprefiero\ no\b | \b(?:debo|tengo\ que)\ (?:rechazar|declinar|negarme)\b | \bme\ niego\ a\b
     | \bnon\ posso\ (?:aiut|rispond|forni|scriv|continu)\w* | \bpreferisco\ non\b | \bdevo\ (?:rifiutare|declinare)\b
-    | \b(?:goes|is|would\ be)\ against\ my\ (?:guidelines|policy|policies|principles|rules|programming)\b
-    | \bdo(?:n['’]?t|\ not)\ have\ the\ (?:ability|permission|authority)\ to\b
-    | \bне\ (?:могу|смогу|буду|имею\ права)\ (?:вам\ )?(?:с\ этим\ )?(?:помочь|ответить|выполнить|предоставить|написать|отвечать|помогать)
-    | (?:お手伝い|お答え|お応え|対応|回答|提供|お役に立つこと)(?:は|が)?(?:でき|いたしかね|致しかね)(?:ません|ます)
-    | (?:我|我们)?(?:无法|不能|不可以)(?:帮助|回答|提供|协助|满足|完成)
     | \bnão\ (?:posso|vou|consigo)\ (?:ajud|respond|fornec|escrev|continu)\w* | \bprefiro\ não\b | \b(?:devo|tenho\ de|tenho\ que)\ (?:recusar|declinar)\b
     """,
     re.IGNORECASE | re.VERBOSE,
@@ -81,10 +76,22 @@ REFUSALS = re.compile(
 _TRIGGERS = ahocorasick.Automaton()
 for _trigger in (
     "can't |can’t |cant |cannot |can not |could not |couldn't |couldn’t |couldnt |won't |won’t |wont |will not |unable to |not able to |not going to |not allowed |not permitted |decline|refuse|pass on this|rather not |unanswered"
-    "|not something i |what i |not comfortable | ich |ich |muss|mir nicht|je dois |je refuse|je préfère|impossible|je ne |no puedo |no podré |no voy |no me es |no estoy |me resulta |prefiero |debo |tengo que |me niego |non posso |preferisco |devo |não |prefiro |tenho |against my |have the |не |でき|かね|无法|不能|不可以"
+    "|not something i |what i |not comfortable | ich |ich |muss|mir nicht|je dois |je refuse|je préfère|impossible|je ne |no puedo |no podré |no voy |no me es |no estoy |me resulta |prefiero |debo |tengo que |me niego |non posso |preferisco |devo |não |prefiro |tenho "
 ).split("|"):
     _TRIGGERS.add_word(_trigger, True)
 _TRIGGERS.make_automaton()
+# Further phrases, searched for only where one of FURTHER_TRIGGERS stands.
+FURTHER_REFUSALS = re.compile(
+    r"""
+      \b(?:goes|is|would\ be)\ against\ my\ (?:guidelines|policy|policies|principles|rules|programming)\b
+    | \bdo(?:n['’]?t|\ not)\ have\ the\ (?:ability|permission|authority)\ to\b
+    | \bне\ (?:могу|смогу|буду|имею\ права)\ (?:вам\ )?(?:с\ этим\ )?(?:помочь|ответить|выполнить|предоставить|написать|отвечать|помогать)
+    | (?:お手伝い|お答え|お応え|対応|回答|提供|お役に立つこと)(?:は|が)?(?:でき|いたしかね|致しかね)(?:ません|ます)
+    | (?:我|我们)?(?:无法|不能|不可以)(?:帮助|回答|提供|协助|满足|完成)
+    """,
+    re.IGNORECASE | re.VERBOSE,
+)
+FURTHER_TRIGGERS = ("against my ", "have the ability", "have the permission", "have the authority", "не могу", "не смогу", "не буду", "не имею", "でき", "かね", "无法", "不能", "不可以")
 #: A refusal is the whole answer: text with that many words beside it is none.
 REFUSAL_WORDS = 60
 
@@ -212,22 +219,26 @@ def other_language(text: str, prompts: list[Prompt]) -> bool:
 
 
 _OPEN, _PAIRS = "([{（「『", {")": "(", "]": "[", "}": "{", "）": "（", "」": "「", "』": "『"}
+_OPENER, _BRACKET = re.compile("[(\\[{（「『“«]"), re.compile("[(\\[{（「『)\\]}）」』]")
 #: Enumerations such as "a)" and smileys close nothing; words in code spans and blocks count as no delimiters.
 _LONE = re.compile(r"(?:^|[\s(])[\w]{1,3}\)|[:;]-?[()]")
 
 
 def unclosed(text: str) -> bool:
     """A thought, bracket or quotation that is opened and never closed. Closers without an opener don't count."""
-    if text.lower().count("<think>") > text.lower().count("</think>"):
+    if "<think" in text and text.count("<think>") > text.count("</think>"):
         return True
-    body = _LONE.sub(" ", prose(text))
+    return bool(_OPENER.search(text)) and _open_marks(text) and _open_marks(_LONE.sub(" ", prose(text)))
+
+
+def _open_marks(text: str) -> bool:
     waiting: list[str] = []
-    for c in body:
+    for c in _BRACKET.findall(text):
         if c in _OPEN:
             waiting.append(c)
-        elif c in _PAIRS and waiting and waiting[-1] == _PAIRS[c]:
+        elif waiting and waiting[-1] == _PAIRS[c]:
             waiting.pop()
-    return bool(waiting) or body.count("“") > body.count("”") + body.count("‟") and body.count("„") == 0 or body.count("«") > body.count("»")
+    return bool(waiting) or (text.count("“") > text.count("”") and "„" not in text) or text.count("«") > text.count("»")
 
 
 def is_truncated(text: str, prompts: list[Prompt]) -> bool:
@@ -254,9 +265,18 @@ def is_truncated(text: str, prompts: list[Prompt]) -> bool:
 
 def is_refusal(text: str, n_words: int) -> bool:
     """Declines to answer, with little beside it: sentences without such a phrase have no more than REFUSAL_WORDS words and 0.6 of all."""
-    if "```" in text or next(_TRIGGERS.iter(text.lower()), None) is None or not REFUSALS.search(text):
+    if "```" in text:
+        return False
+    low = text.lower()
+    usual = next(_TRIGGERS.iter(low), None) is not None
+    further = any(t in low for t in FURTHER_TRIGGERS)
+
+    def declines(part: str) -> bool:
+        return bool(usual and REFUSALS.search(part)) or bool(further and FURTHER_REFUSALS.search(part))
+
+    if not declines(text):
         return False
-    rest = sum(len(words_of(s)) for s in re.split(r"(?<=[.!?])\s+", text) if not REFUSALS.search(s))
+    rest = sum(len(words_of(s)) for s in re.split(r"(?<=[.!?])\s+", text) if not declines(s))
     return rest <= REFUSAL_WORDS and rest <= n_words * 0.6
 
 
