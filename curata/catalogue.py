@@ -476,9 +476,9 @@ _KEYWORDS = "('" + "', '".join(similarity.KEYWORDS) + "')"
 @query(f"""WITH {_TOKENS}, t AS (SELECT rg.key, rg.n, CASE WHEN rg.n > 1 THEN 1.0::DOUBLE WHEN rg.g IN {_KEYWORDS} THEN 1.0 ELSE 0.2 END AS wt, rg.k AS want, least(rg.k, coalesce(cg.k, 0)) AS hit FROM rg LEFT JOIN cg ON cg.key = rg.key AND cg.n = rg.n AND cg.g = rg.g),
     o AS (SELECT key, n, sum(wt * hit) AS hit, sum(wt * want) AS want FROM t GROUP BY 1, 2),
     q AS (SELECT w.key, len(w.c) AS cl, max(hit) FILTER (n = 1) AS h1, max(want) FILTER (n = 1) AS w1, sum(ln(CASE WHEN hit > 0 THEN hit ELSE 0.1 END / want)) AS logs, count(o.n) AS orders FROM w LEFT JOIN o ON o.key = w.key GROUP BY w.key, w.c)
-    SELECT key AS traj_id, round(h1 / w1, 6) AS recall, round(CASE WHEN coalesce(h1, 0) > 0 THEN CASE WHEN cl > 2 THEN 1 ELSE exp(1 - 2.0 / cl) END * exp((logs + (4 - orders) * ln(0.1)) / 4) ELSE 0 END, 6) AS weighted_bleu FROM q""")
+    SELECT key AS traj_id, round(h1 / w1, 9) AS recall, round(CASE WHEN coalesce(h1, 0) > 0 THEN CASE WHEN cl > 2 THEN 1 ELSE exp(1 - 2.0 / cl) END * exp((logs + (4 - orders) * ln(0.1)) / 4) ELSE 0 END, 9) AS weighted_bleu FROM q""")
 def weighted_recall(spark, d):
-    return similarity.weighted_recall(_pairs(spark, d)).select(F.col("key").alias("traj_id"), F.round("recall", 6).alias("recall"), F.round("weighted_bleu", 6).alias("weighted_bleu"))
+    return similarity.weighted_recall(_pairs(spark, d)).select(F.col("key").alias("traj_id"), F.round("recall", 9).alias("recall"), F.round("weighted_bleu", 9).alias("weighted_bleu"))
 
 
 # --- digests and sets ------------------------------------------------------------------------------------------------------------------------
