@@ -129,16 +129,15 @@ USUAL = 6000
 
 class Dictionary:
     """What public tokenizers' vocabularies say of a word: their merges are ranked by how often a piece occurs, so a word that is one piece in lower case
-    is an ordinary word."""
+    is an ordinary word. A vocabulary that is missing or empty is an error: without it every word would pass as unusual, and other names come out."""
 
     def __init__(self, *rank_files: str):
         self.ranks = []
         for path in rank_files:
-            try:
-                with open(path, "rb") as f:
-                    self.ranks.append({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
-            except FileNotFoundError:
-                pass
+            with open(path, "rb") as f:
+                self.ranks.append({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
+            if not self.ranks[-1]:
+                raise ValueError(f"no ranks in {path}")
 
     @lru_cache(maxsize=100_000)
     def usual(self, word: str) -> bool:

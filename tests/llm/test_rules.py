@@ -175,6 +175,15 @@ def test_long_texts_take_linear_time(part):
     assert seconds(16_000) < 0.5 + 20 * seconds(2_000)
 
 
+def test_a_missing_vocabulary_is_an_error(tmp_path):
+    (tmp_path / "empty").touch()
+    (tmp_path / "broken").write_text("IHRoZQ==\n")
+    for name, error in (("missing", FileNotFoundError), ("empty", ValueError), ("broken", ValueError)):
+        for files in ((encode.RANK_FILE, str(tmp_path / name)), (str(tmp_path / name), encode.MULTI_RANK_FILE)):
+            with pytest.raises(error):
+                pii.Anchors(LEXICON[:3], files)
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "Ask Grace Stone, g@x.test."), (2, None), (3, ""), (None, "g@x.test"), (1, "Ask Grace Stone, g@x.test."), (4, "g@x.test " * 50_000)], "doc_id long, text string").withColumn("kind", F.lit(0))
     lexicon = spark.createDataFrame(LEXICON, "token string, kind string")
