@@ -12,13 +12,14 @@ exact block matches; low bits of minwise hashes agree far more often in whole bl
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise, scratch_dir
+from ..session import materialise, scratch_dir, shuffles_dropped
 from . import shingles as S
 from .copies import bare, multiset_fingerprint
 from .near import _batches, _texts, bits_apart, only_ids, similarity
@@ -74,24 +75,26 @@ def first_of_each(prints: DataFrame) -> DataFrame:
     return prints.groupBy("h1", "h2").agg(F.min(F.struct("part", "id", "n", *BITS, "blocks")).alias("x")).select("h1", "h2", "x.*")
 
 
-def block_rows(prints: DataFrame, filter_: tuple[int, np.ndarray] | None = None) -> DataFrame:
-    """block, part, id, n: a row for each block, which is its key: the number of the block and its bits. The other bits stay behind: few records meet.
-    With a filter, only of blocks that it may hold."""
-    rows = prints.select("part", "id", F.col("n").cast("int").alias("n"), "blocks")
+def block_rows(prints: DataFrame, blocks: range, filter_: tuple[int, np.ndarray] | None = None) -> DataFrame:
+    """block, part, id, n, bits: a row for each of these blocks, which is its key: the number of the block and its bits. The Hamming bits go along, so
+    that pairs are tested where they meet: those that share a block grow with the square of the records, those that pass don't. With a filter, only of
+    blocks that it may hold."""
+    rows = prints.select("part", "id", F.col("n").cast("int").alias("n"), *BITS, F.slice("blocks", blocks.start + 1, len(blocks)).alias("blocks"))
     if filter_ is None:
-        return rows.select(F.explode("blocks").alias("block"), "part", "id", "n")
+        return rows.select(F.explode("blocks").alias("block"), "part", "id", "n", *BITS)
     width, marked = filter_[0], prints.sparkSession.sparkContext.broadcast(filter_[1])
+    kept = ["part", "id", "n", *BITS]
 
     def run(iterator):
         for batch in iterator:
-            lists = batch.column(3)
+            lists = batch.column("blocks")
             block, counts = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
             at = _place(block, width)
             keep = (marked.value[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & np.uint8(1) > 0
             owner = pa.array(np.repeat(np.arange(batch.num_rows), counts)[keep])
-            yield pa.RecordBatch.from_arrays([pa.array(block[keep]), *(batch.column(k).take(owner) for k in range(3))], ["block", "part", "id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(block[keep]), *(batch.column(c).take(owner) for c in kept)], ["block", *kept])
 
-    return rows.mapInArrow(run, "block int, part int, id long, n int")
+    return rows.mapInArrow(run, "block int, part int, id long, n int, " + ", ".join(f"{b} long" for b in BITS))
 
 
 #: Bits of a batch's filter for each of its blocks, about, and the logarithm of the most that it has: 16 MB.
@@ -103,10 +106,16 @@ def _place(block: np.ndarray, width: int) -> np.ndarray:
     return (block.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(32 - width)
 
 
-def block_filter(probes: DataFrame) -> tuple[int, np.ndarray]:
-    """A bitmap of the blocks of a batch, so that of the index only what a batch may meet is shuffled. It has a bounded size: a batch too large for it
-    fills it up and lets more through, but loses nothing."""
-    width = int(np.clip(np.ceil(np.log2(max(1, FILTER_BITS * BLOCKS * probes.count()))), 15, FILTER_WIDTH))
+def rounds(probes: int) -> list[range]:
+    """The blocks in the parts that are looked up one after the other: as many at once as a filter can tell apart for so many probes."""
+    step = next((k for k in range(BLOCKS, 0, -1) if BLOCKS % k == 0 and FILTER_BITS * k * probes <= 1 << FILTER_WIDTH), 1)
+    return [range(k, k + step) for k in range(0, BLOCKS, step)]
+
+
+def block_filter(probes: DataFrame, blocks: range, number: int) -> tuple[int, np.ndarray]:
+    """A bitmap of these blocks of a batch of so many probes, so that of the index only what the batch may meet is shuffled. It has a bounded size: a batch
+    too large for it fills it up and lets more through, but loses nothing."""
+    width = int(np.clip(np.ceil(np.log2(max(1, FILTER_BITS * len(blocks) * number))), 15, FILTER_WIDTH))
 
     def run(iterator):
         marked = np.zeros(1 << width, bool)
@@ -117,7 +126,7 @@ def block_filter(probes: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([bits[k].tobytes() for k in used], pa.binary())], ["at", "bits"])
 
     out = np.zeros((1 << width) // 8, np.uint8).reshape(-1, _PART_BYTES)
-    for at, bits in probes.select("blocks").mapInArrow(run, "at int, bits binary").groupBy("at").agg(F.bitmap_or_agg("bits").alias("bits")).collect():
+    for at, bits in probes.select(F.slice("blocks", blocks.start + 1, len(blocks)).alias("blocks")).mapInArrow(run, "at int, bits binary").groupBy("at").agg(F.bitmap_or_agg("bits").alias("bits")).collect():
         out[at] = np.frombuffer(bits, np.uint8)
     return width, out.ravel()
 
@@ -144,15 +153,18 @@ def copy_prints(records: DataFrame) -> DataFrame:
 
 def lookup(index: DataFrame, probes: DataFrame, threshold: float) -> DataFrame:
     """id, i_fresh, i_part, i_id: probes and indexed records that share a block, fit in size and pass the Hamming test. A stored record is earlier
-    than all probes, a fresh one by its part and id."""
-    stored = block_rows(index.where("not fresh"), block_filter(probes)).withColumn("fresh", F.lit(False))
-    fresh = block_rows(index.where("fresh")).withColumn("fresh", F.lit(True))
-    a, b = block_rows(probes), stored.unionByName(fresh).select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n")))
+    than all probes, a fresh one by its part and id. Of pairs that only share a block none is written or shuffled."""
+    number = probes.count()
     earlier = ~F.col("i_fresh") | (F.col("i_part") < F.col("part")) | ((F.col("i_part") == F.col("part")) & (F.col("i_id") < F.col("id")))
     fits = F.least("n", "i_n") >= F.lit(threshold) * F.greatest("n", "i_n")
-    met = materialise(a.join(b, (a["block"] == b["block"]) & earlier & fits).select("id", "i_fresh", "i_part", "i_id").distinct(), "met")
-    both = met.join(probes.groupBy("id").agg(*(F.first(x).alias(x) for x in BITS)), "id").join(index.select(*(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id")), *(F.col(x).alias(f"i_{x}") for x in BITS)), ["i_fresh", "i_part", "i_id"])
-    return both.where(bits_apart("bits", "i_bits", 4) <= MAX_BITS).select("id", "i_fresh", "i_part", "i_id").distinct()
+    met = []
+    for blocks in rounds(number):
+        stored = block_rows(index.where("not fresh"), blocks, block_filter(probes, blocks, number)).withColumn("fresh", F.lit(False))
+        fresh = block_rows(index.where("fresh"), blocks).withColumn("fresh", F.lit(True))
+        a, b = block_rows(probes, blocks), stored.unionByName(fresh).select("block", *(F.col(c).alias(f"i_{c}") for c in ("fresh", "part", "id", "n", *BITS)))
+        close = (a["block"] == b["block"]) & earlier & fits & (bits_apart("bits", "i_bits", 4) <= MAX_BITS)
+        met.append(materialise(a.join(b, close).select("id", "i_fresh", "i_part", "i_id").distinct(), "met"))
+    return reduce(DataFrame.unionByName, met).distinct()
 
 
 def sent_again(incoming: DataFrame, registry: DataFrame) -> DataFrame:
@@ -196,12 +208,13 @@ class HistoryIndex:
         Each table has a folder for each part, which a batch fills as a whole: a batch that is appended again, after a failure or by mistake, replaces
         its own rows and no others.
         """
-        firsts = first_of_each(fingerprints(records, self.width))
-        if self._has("prints"):
-            firsts = firsts.join(self._stored("prints").select("h1", "h2"), ["h1", "h2"], "left_anti")
-        for table, rows in (("texts", records), ("copies", copy_prints(records)), ("prints", firsts)):
-            kept = materialise(rows, "append") if table == "prints" and self._has("prints") else rows
-            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("part").parquet(f"{self.path}/{table}")
+        with shuffles_dropped(self.spark):
+            firsts = first_of_each(fingerprints(records, self.width))
+            if self._has("prints"):
+                firsts = firsts.join(self._stored("prints").select("h1", "h2"), ["h1", "h2"], "left_anti")
+            for table, rows in (("texts", records), ("copies", copy_prints(records)), ("prints", firsts)):
+                kept = materialise(rows, "append") if table == "prints" and self._has("prints") else rows
+                kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("part").parquet(f"{self.path}/{table}")
 
     def check(self, batch: DataFrame) -> DataFrame:
         """id, kind of the records (part, id, prompt, response) that repeat an indexed one. Repeats inside the batch and digests of history are
@@ -214,14 +227,16 @@ class HistoryIndex:
         return self._find(ordered_incoming(incoming), True, sent_again(incoming, registry))
 
     def _find(self, new: DataFrame, within: bool, sent: DataFrame | None) -> DataFrame:
-        exact = self._exact(new, within)
-        exact = materialise(exact if sent is None else exact.union(sent).distinct(), "exact")
-        prints = materialise(fingerprints(new, self.width), "prints")
-        keys = ["part", "id", "n", "blocks", *BITS]
-        index = self._stored("prints").select(F.lit(False).alias("fresh"), *keys)
-        if within:
-            index = index.unionByName(first_of_each(prints).select(F.lit(True).alias("fresh"), *keys))
-        near = self._near(materialise(lookup(index, prints.join(exact, "id", "left_anti"), self.threshold), "pairs"), new)
+        with shuffles_dropped(self.spark):
+            exact = self._exact(new, within)
+            exact = materialise(exact if sent is None else exact.union(sent).distinct(), "exact")
+            prints = materialise(fingerprints(new, self.width), "prints")
+            keys = ["part", "id", "n", "blocks", *BITS]
+            index = self._stored("prints").select(F.lit(False).alias("fresh"), *keys)
+            if within:
+                index = index.unionByName(materialise(first_of_each(prints), "firsts").select(F.lit(True).alias("fresh"), *keys))
+            probes = materialise(prints.join(exact, "id", "left_anti"), "probes")
+            near = self._near(materialise(lookup(index, probes, self.threshold), "pairs"), new)
         return exact.select("id", F.lit("exact").alias("kind")).unionByName(near.select("id", F.lit("near").alias("kind")))
 
     def _exact(self, new: DataFrame, within: bool) -> DataFrame:

@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,3 +67,20 @@ def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, each query's shuffle files are removed as it ends, not when the driver happens to collect its garbage. For steps that write their results."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)

@@ -78,6 +78,38 @@ def test_stored_index_finds_repeats_inside_a_batch(spark, tmp_path):
     assert sum(2000 <= i < 3000 for i in step) == 24 and step[3001] == "near"
 
 
+def templated(seed, n, start=0):
+    """Records with a prompt in common: many share a block, none are similar."""
+    rng = random.Random(seed)
+    usual = text(random.Random(0), 24)
+    return [(start + i, usual, text(rng, 60)) for i in range(n)]
+
+
+def test_pairs_that_only_share_a_block_are_not_written(spark, monkeypatch):
+    history, new = templated(1, 300), templated(2, 200)
+    new += [(200 + k, p, r + " end") for k, (_, p, r) in enumerate(history[:20])]
+    incoming = [(i, 1 + i % 3, None, p, r) for i, p, r in new]
+    h = spark.createDataFrame(history, SCHEMA)
+    n = spark.createDataFrame(incoming, "in_id long, batch_no int, trajectories_sha256 string, prompt string, response string")
+    known = spark.createDataFrame([], "line_no long, trajectories_sha256 string, batch_no int")
+    written, materialise = {}, batches.materialise
+
+    def counted(df, name="t"):
+        out = materialise(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(batches, "materialise", counted)
+    truth = batch_truth(history, incoming, set())
+    assert len(truth) >= 20 and set(truth.values()) == {"near"}
+    for width in (27, 15):  # one round, and several
+        monkeypatch.setattr(batches, "FILTER_WIDTH", width)
+        assert {r["in_id"]: r["kind"] for r in batches.repeats(h, n, known).collect()} == truth
+    assert max(map(max, written.values())) <= len(history) + len(new)
+    assert len(written["met"]) == 1 + 4
+    assert [b for r in batches.rounds(10**6) for b in r] == list(range(batches.BLOCKS)) and len(batches.rounds(0)) == 1
+
+
 def test_counts_of_both_tables(spark):
     t = spark.createDataFrame([(1, "A", "b"), (2, "a.", "B"), (3, "c", None)], SCHEMA)
     raw = spark.createDataFrame([(5, '{"prompt": "A", "response": "b"}'), (6, '{"response": "B!", "prompt": "a"}'), (7, "{"), (8, '{"prompt": "A"}')], "raw_id long, line string")
